@@ -55,7 +55,8 @@ def first_rows(df: DataFrame, n: int = 3, order_by: tuple[str, ...] = ()) -> Dat
 def bronze_profile(df: DataFrame) -> DataFrame:
     """Shape, status mix and anomaly count of a whole table as (metric, item, value).
 
-    One scan: the grand total comes from the same rollup as the status groups.
+    One scan: the grand total comes from the same rollup as the status groups. An empty
+    table has no facts.
     """
     counted = df.rollup("status").agg(
         F.grouping("status").alias("is_total"),

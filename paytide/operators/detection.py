@@ -153,6 +153,8 @@ def group_percentiles(
         .groupBy(F.col(key).alias("_key"), F.col(value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", F.floor(F.col("_value") / bucket_width))
+        # Stated for both uses below, so that they share one scan and one shuffle.
+        .filter(F.col("_bucket").isNotNull())
     )
     earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1

@@ -1,0 +1,141 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from paytide import schema as s
+from paytide.operators import summaries
+from paytide.operators.summaries import SUMMARIES, gold_tables, txn_rollup
+from tests.conftest import plan_of
+
+
+@pytest.fixture(scope="module")
+def payments(silver_rows):
+    def p(i, **change):
+        return {"txn_id": f"t{i}", **change}
+
+    return silver_rows(
+        p(1, amount=100.0),
+        p(2, amount=200.0, status="FAILED"),
+        p(3, amount=300.55, status="PENDING"),
+        p(4, amount=10.005, txn_hour=11, sender_bank="HDFC", is_anomaly=True),
+        p(5, amount=50.0, txn_hour=11, sender_bank="HDFC", txn_type="P2M", status="FAILED"),
+        p(6, amount=70.0, txn_type="P2M", merchant_category="Fuel", sender_bank=None),
+        p(7, amount=80.0, txn_type="P2M", merchant_category="Fuel", txn_hour=None, is_anomaly=None),
+        p(8, amount=90.0, txn_date=None, is_anomaly=True, sender_bank="HDFC"),
+    )
+
+
+def as_rows(df):
+    return [tuple(r) for r in df.drop("processed_at").collect()]
+
+
+@pytest.mark.parametrize("name", SUMMARIES)
+def test_schema_as_declared(payments, name):
+    df = SUMMARIES[name].of_rows(payments)
+    assert [(f.name, f.dataType) for f in df.schema] == [
+        (f.name, f.dataType) for f in s.GOLD[name]
+    ]
+
+
+def test_hourly(payments):
+    rows = as_rows(summaries.hourly_txn_summary(payments))
+    day = dt.date(2026, 3, 21)
+    assert rows == [
+        (None, 10, 1, 1, 0, 0, 90.0, 90.0, 90.0, 100.0, 0.0),
+        (day, None, 1, 1, 0, 0, 80.0, 80.0, 80.0, 100.0, 0.0),
+        (day, 10, 4, 2, 1, 1, 670.55, 167.64, 300.55, 50.0, 25.0),
+        (day, 11, 2, 1, 1, 0, 60.01, 30.0, 50.0, 50.0, 50.0),
+    ]
+
+
+def test_banks_worst_first(payments):
+    rows = as_rows(summaries.bank_failure_analysis(payments))
+    assert rows == [
+        ("HDFC", 3, 1, 150.01, 50.0, 33.33),
+        ("SBI", 4, 1, 680.55, 170.14, 25.0),
+        (None, 1, 0, 70.0, 70.0, 0.0),
+    ]
+
+
+def test_merchants_only_with_unknown_group(payments):
+    rows = as_rows(summaries.merchant_spend_analysis(payments))
+    assert rows == [
+        ("Fuel", 2, 150.0, 75.0, 80.0, 2, 100.0),
+        ("UNKNOWN", 1, 50.0, 50.0, 50.0, 0, 0.0),
+    ]
+
+
+def test_anomalies_flagged_only(payments):
+    rows = as_rows(summaries.anomaly_summary(payments))
+    assert rows == [
+        (None, "HDFC", 1, 90.0, 90.0, 90.0),
+        (dt.date(2026, 3, 21), "HDFC", 1, 10.01, 10.01, 10.01),
+    ]
+
+
+def test_ties_are_ordered_by_key(silver_rows):
+    df = silver_rows(*[{"txn_id": b, "sender_bank": b} for b in ("c", "a", "b")])
+    assert [r[0] for r in as_rows(summaries.bank_failure_analysis(df))] == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("name", SUMMARIES)
+def test_rollup_gives_the_same_table(payments, name):
+    direct = SUMMARIES[name].of_rows(payments)
+    merged = gold_tables(txn_rollup(payments))[name]
+    assert as_rows(direct) == as_rows(merged)
+
+
+@pytest.mark.parametrize("name", SUMMARIES)
+def test_empty_input(silver_rows, name):
+    empty = silver_rows()
+    assert SUMMARIES[name].of_rows(empty).count() == 0
+    assert gold_tables(txn_rollup(empty))[name].count() == 0
+
+
+def test_amounts_may_be_missing_outside_silver(typed_rows):
+    row = summaries.bank_failure_analysis(typed_rows({"amount": None})).first()
+    assert (row.total_txns, row.total_amount, row.avg_amount) == (1, None, None)
+
+
+def test_no_id_means_no_rate_instead_of_an_error(typed_rows):
+    row = summaries.bank_failure_analysis(typed_rows({"txn_id": None})).first()
+    assert (row.total_txns, row.failure_rate_pct) == (0, None)
+
+
+def test_half_up_on_the_shortest_decimal(silver_rows):
+    df = silver_rows({"amount": 1.005})
+    assert summaries.bank_failure_analysis(df).first().total_amount == 1.01
+
+
+def test_other_tables_bind_by_column(spark):
+    orders = spark.createDataFrame(
+        [(1, "hi", "F", 10.0), (2, "hi", "X", 20.5), (3, "lo", "F", 1.0)],
+        "k long, priority string, state string, price double",
+    )
+    table = summaries.Summary(
+        keys=("priority",),
+        columns={"orders": "n", "done": "n_success", "money": "amount_sum"},
+        rates={"done_pct": ("n_success", "n")},
+    )
+    rows = table.of_rows(
+        orders,
+        with_processed_at=False,
+        id_col="k",
+        status_col="state",
+        amount=F.col("price").cast("decimal(18,2)"),
+        success="F",
+    ).collect()
+    assert [tuple(r) for r in rows] == [("hi", 2, 1, 30.5, 50.0), ("lo", 1, 1, 1.0, 100.0)]
+
+
+def test_plan_prunes_pushes_and_combines(spark, payments, tmp_path):
+    path = str(tmp_path / "silver")
+    payments.write.parquet(path)
+    silver = spark.read.schema(s.SILVER).parquet(path)
+    plan = plan_of(summaries.merchant_spend_analysis(silver))
+    assert "EqualTo(txn_type,P2M)" in plan
+    assert "ReadSchema: struct<txn_id:string,txn_type:string,amount:double,status:string,merchant_category:string>" in plan
+    assert "partial_sum" in plan
+    flagged = plan_of(summaries.anomaly_summary(silver))
+    assert "EqualTo(is_anomaly,true)" in flagged
