@@ -13,6 +13,7 @@ from paytide.operators.lookup import attach
 
 VELOCITY_WINDOW_SECONDS = 3600
 VELOCITY_MIN_TXNS = 3
+SLICE_WINDOWS = 24
 ZSCORE_LIMIT = 3.0
 IQR_FENCE = 1.5
 FAILURE_ALERT_PCT = 10.0
@@ -39,25 +40,40 @@ def velocity_counts(
     (`n_window`, both ends included).
 
     A plain range window per key would put all rows of a busy key in one task. Here rows
-    are first counted per second, and each second is placed in the time slice it lies in
-    and in the next one. A window then never looks outside its slice, so a task group
-    holds at most two slices of seconds however many rows the key has.
+    are first counted per second, and time is cut into slices of `SLICE_WINDOWS` windows.
+    The seconds of a slice's last window are also handed to the next slice, so a window
+    never has to look outside its own. A task group then holds at most that many windows
+    of seconds (25 hours for the default), however many rows the key has.
+
+    Within a slice each second enters the count when it occurs and leaves it when it is
+    `window_seconds` old. The count is then one running sum over arrivals and departures,
+    whose cost does not depend on how full the windows are.
     """
     per_second = (
         df.filter(F.col(event_time).isNotNull())
         .groupBy(key, F.unix_seconds(event_time).alias("second"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    home = F.floor(F.col("second") / window_seconds)
-    sliced = per_second.withColumn("_home", home).withColumn(
-        "_slice", F.explode(F.array("_home", F.col("_home") + 1))
+    length = window_seconds * SLICE_WINDOWS
+    home = F.floor(F.col("second") / length)
+    reaches_next = F.pmod(F.col("second"), F.lit(length)) >= length - window_seconds
+    slices = F.when(reaches_next, F.array(home, home + 1)).otherwise(F.array(home))
+    changes = F.array(
+        F.struct(F.col("second").alias("_at"), F.col("n").alias("_change")),
+        F.struct(
+            (F.col("second") + window_seconds + 1).alias("_at"), (-F.col("n")).alias("_change")
+        ),
     )
-    trailing = (
-        Window.partitionBy(key, "_slice").orderBy("second").rangeBetween(-window_seconds, 0)
+    sliced = per_second.select("*", home.alias("_home"), F.explode(slices).alias("_slice"))
+    flow = sliced.select(key, "second", "n", "_home", "_slice", F.inline(changes))
+    so_far = (
+        Window.partitionBy(key, "_slice")
+        .orderBy("_at")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        sliced.withColumn("n_window", F.sum("n").over(trailing))
-        .filter("_slice = _home")
+        flow.withColumn("n_window", F.sum("_change").over(so_far))
+        .filter("_slice = _home AND _change > 0")
         .select(key, "second", "n", "n_window")
     )
 

@@ -40,7 +40,23 @@ def read_bronze(
     return _between(_read(spark, path, s.BRONZE), since, until)
 
 
-def append_bronze(df: DataFrame, path: str, batch_date: date | str | None = None) -> None:
+def _by_day(df: DataFrame, compact: bool) -> DataFrame:
+    """Bring the rows of a day together before a partitioned write.
+
+    Without it every task opens a file for every day it sees. The rebalance is adaptive,
+    so a day holding a large share of the rows is still split over many tasks and small
+    days share one.
+    """
+    return df.hint("rebalance", F.col(PARTITION)) if compact else df
+
+
+def append_bronze(
+    df: DataFrame,
+    path: str,
+    batch_date: date | str | None = None,
+    *,
+    compact: bool = True,
+) -> None:
     """Add one batch to the Bronze table; earlier batches stay.
 
     Every column is written with its declared type, also when it holds no value at all,
@@ -50,7 +66,7 @@ def append_bronze(df: DataFrame, path: str, batch_date: date | str | None = None
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in s.BRONZE])
     if batch_date is not None:
         out = out.withColumn(PARTITION, F.lit(str(batch_date)))
-    out.write.mode("append").partitionBy(PARTITION).parquet(path)
+    _by_day(out, compact).write.mode("append").partitionBy(PARTITION).parquet(path)
 
 
 def read_silver(
@@ -69,13 +85,11 @@ def write_silver(
     """Write Silver partitioned by day, replacing what is there.
 
     By default the whole table is replaced; `incremental` replaces only the days present
-    in `df`. `compact` groups rows by day first: without it every task opens a file for
-    every day it sees. The rebalance is adaptive, so a day holding a large share of the
-    rows is still split over many tasks and small days share one.
+    in `df`. `compact` trades one shuffle for few files per day.
     """
-    out = df.hint("rebalance", F.col(PARTITION)) if compact else df
     (
-        out.write.mode("overwrite")
+        _by_day(df, compact)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if incremental else "static")
         .partitionBy(PARTITION)
         .parquet(path)

@@ -35,6 +35,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Compute `df` once into the shared folder and continue from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute `df` once into a Parquet table in the shared folder and continue from it.
+
+    The table survives lost executors, and readers of it still get column pruning,
+    pushed filters and a known size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "staged")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
