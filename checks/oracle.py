@@ -244,9 +244,7 @@ SQL = {
     ),
     # Storage round trips.
     "silver_roundtrip": over_stages(_SILVER),
-    "silver_date_range": over_stages(
-        f"{_SILVER} where txn_date between date '2024-01-08' and date '2024-01-14'"
-    ),
+    "silver_date_range": over_stages(_SILVER),
     "gold_roundtrip": over_stages("select * from hourly"),
     "gold_scan": over_stages(
         """select 'HOURLY_TXN_SUMMARY' as table_name, cast(sum(total_txns) as bigint) as txns,

@@ -52,7 +52,13 @@ def run_silver(
     Bronze is read and shuffled once; the counters ride along with the write. They are
     log figures: a stage re-run after a lost executor may count its rows again. Use
     `validation_audit` where the numbers have to be exact.
+
+    With `since` / `until` only those batch days are read, so a copy of an id filed under
+    another day is not seen; together with `incremental` only those days are replaced.
     """
+    if incremental and date_from_event and (since or until):
+        # A late row would replace the whole of its event day with itself.
+        raise ValueError("event days cannot be replaced from a range of batch days")
     loaded, checked = Observation("bronze"), Observation("validation")
     bronze = read_bronze(spark, bronze_path, since=since, until=until)
     rows = (

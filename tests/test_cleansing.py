@@ -48,7 +48,14 @@ def test_missing_column_is_an_error(sample):
         ("2026-03-21 10:00:00.123", dt.datetime(2026, 3, 21, 10)),
         ("2026-03-21 10:00:00abc", dt.datetime(2026, 3, 21, 10)),
         ("2026-03-21", None),
+        ("2026-03-21T10:00:00", None),
+        ("2026-03-21 10:00", None),
+        ("2026-03-21 10:00+05", None),
         ("2026-13-21 10:00:00", None),
+        ("2026-02-30 10:00:00", None),
+        ("2026-03-21 24:00:00", None),
+        ("2026-03-21 10:60:00", None),
+        ("x2026-03-21 10:00:00", None),
         ("garbage", None),
         ("", None),
         (None, None),
@@ -59,6 +66,36 @@ def test_timestamp_text(bronze_rows, text, expected):
     assert row.txn_timestamp == expected
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2026-03-21", dt.date(2026, 3, 21)),
+        ("2026-03-21 23:59:59", dt.date(2026, 3, 21)),
+        ("2026-02-29", None),
+        ("2026-03", None),
+        ("21-03-2026", None),
+        (None, None),
+    ],
+)
+def test_date_text(bronze_rows, text, expected):
+    assert enforce_schema(bronze_rows({"txn_date": text})).first().txn_date == expected
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_text_is_read_in_the_session_zone(spark, bronze_rows, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = enforce_schema(bronze_rows({}))
+        shown = df.select(F.date_format("txn_timestamp", "yyyy-MM-dd HH:mm:ss").alias("t"))
+        parsed = df.select(
+            F.to_timestamp(F.lit("2026-03-21 10:00:00"), "yyyy-MM-dd HH:mm:ss").alias("t")
+        )
+        assert shown.first().t == "2026-03-21 10:00:00"
+        assert df.first().txn_timestamp == parsed.first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_typed_input_is_kept(spark, sample):
     typed = enforce_schema(sample)
     again = enforce_schema(typed)

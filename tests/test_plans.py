@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from paytide import schema as s
+from paytide.operators import views
 from paytide.operators.summaries import SUMMARIES
 from paytide.plans.export import run_export
 from paytide.plans.gold import run_gold
@@ -84,6 +85,14 @@ def test_incremental_days(spark, bronze_rows, paths):
     assert only["hourly_txn_summary"] == 2
 
 
+def test_part_of_a_day_never_replaces_the_day(spark, paths):
+    with pytest.raises(ValueError, match="event days"):
+        run_silver(
+            spark, paths.bronze, paths.silver,
+            since="2026-03-11", incremental=True, date_from_event=True,
+        )
+
+
 def test_empty_bronze(spark, bronze_rows, paths):
     report = run_pipeline(spark, paths, batch=bronze_rows())
     assert report["silver"]["bronze_rows"] == 0
@@ -132,3 +141,11 @@ def test_export_to_catalog_and_presentation_order(spark, bronze_rows, paths):
     assert [r.TXN_HOUR for r in tables["HOURLY_TXN_SUMMARY"].collect()] == [7, 8, 9]
     assert [r.SENDER_BANK for r in tables["BANK_FAILURE_ANALYSIS"].collect()] == ["B", "A"]
     assert tables["MERCHANT_SPEND_ANALYSIS"].count() == 0
+    volume = views.hourly_volume(tables["HOURLY_TXN_SUMMARY"])
+    assert [tuple(r) for r in volume.collect()] == [
+        ("2026-03-21", 7, 1),
+        ("2026-03-22", 8, 1),
+        ("2026-03-21", 9, 1),
+    ]
+    kpi = views.kpis(tables["HOURLY_TXN_SUMMARY"], tables["ANOMALY_SUMMARY"]).first()
+    assert (kpi.total_txns, kpi.total_volume, kpi.total_anomalies) == (3, 4500.0, 0)
