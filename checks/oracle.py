@@ -246,6 +246,9 @@ SQL = {
     "silver_roundtrip": over_stages(_SILVER),
     "silver_date_range": over_stages(_SILVER),
     "gold_roundtrip": over_stages("select * from hourly"),
+    "gold_roundtrip_banks": over_stages("select * from banks"),
+    "gold_roundtrip_merchants": over_stages("select * from merchants"),
+    "gold_roundtrip_anomalies": over_stages("select * from anomalies"),
     "gold_scan": over_stages(
         """select 'HOURLY_TXN_SUMMARY' as table_name, cast(sum(total_txns) as bigint) as txns,
             count(*) as groups from hourly
@@ -269,6 +272,7 @@ SQL = {
     "export_anomalies": over_stages(_export("anomalies", GOLD_COLUMNS["anomalies"])),
     "warehouse_export": over_stages(_export("anomalies", GOLD_COLUMNS["anomalies"])),
     "warehouse_views": over_stages(_export("merchants", GOLD_COLUMNS["merchants"])),
+    "warehouse_tables": over_stages(_export("banks", GOLD_COLUMNS["banks"])),
     # Detection.
     "rule_flags": over_stages(
         "select txn_id, is_spike, is_night, is_round_amount, is_suspect from suspects"

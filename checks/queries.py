@@ -249,10 +249,28 @@ def silver_date_range(spark, sf_dir):
     return _without_stamp(early.unionByName(middle).unionByName(late))
 
 
+def _stored_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _without_stamp(lake.read_gold_table(spark, _gold_folder(spark, sf_dir), name))
+
+
 @query
 def gold_roundtrip(spark, sf_dir):
-    root = _gold_folder(spark, sf_dir)
-    return _without_stamp(lake.read_gold_table(spark, root, "hourly_txn_summary"))
+    return _stored_gold(spark, sf_dir, "hourly_txn_summary")
+
+
+@query
+def gold_roundtrip_banks(spark, sf_dir):
+    return _stored_gold(spark, sf_dir, "bank_failure_analysis")
+
+
+@query
+def gold_roundtrip_merchants(spark, sf_dir):
+    return _stored_gold(spark, sf_dir, "merchant_spend_analysis")
+
+
+@query
+def gold_roundtrip_anomalies(spark, sf_dir):
+    return _stored_gold(spark, sf_dir, "anomaly_summary")
 
 
 @query
@@ -333,6 +351,14 @@ def warehouse_views(spark, sf_dir):
     return _without_stamp(warehouse.present(exported, table))
 
 
+@query
+def warehouse_tables(spark, sf_dir):
+    """The bank table through the session catalog."""
+    tables = lake.read_gold_tables(spark, _gold_folder(spark, sf_dir))
+    warehouse.export_to_catalog(tables, root=scratch_path(spark, "catalog"))
+    return _without_stamp(warehouse.load_data(spark)["BANK_FAILURE_ANALYSIS"])
+
+
 # --- Detection ------------------------------------------------------------------------
 
 

@@ -53,11 +53,17 @@ def export_tables(
             writer.option("dbtable", name).save()
 
 
-def export_to_catalog(tables: Mapping[str, DataFrame], database: str | None = None) -> None:
-    """Fully replace each table in the session catalog."""
+def export_to_catalog(
+    tables: Mapping[str, DataFrame], database: str | None = None, root: str | None = None
+) -> None:
+    """Fully replace each table in the session catalog; its files go below `root`, if
+    given, and to the catalog's own warehouse folder otherwise."""
     prefix = f"{database}." if database else ""
     for name, df in tables.items():
-        prepare_df(df).write.mode("overwrite").saveAsTable(f"{prefix}{name}")
+        writer = prepare_df(df).write.mode("overwrite")
+        if root is not None:
+            writer = writer.option("path", f"{root.rstrip('/')}/{name}")
+        writer.saveAsTable(f"{prefix}{name}")
 
 
 def present(df: DataFrame, name: str) -> DataFrame:

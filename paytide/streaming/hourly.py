@@ -10,10 +10,15 @@ from paytide.operators.summaries import SUMMARIES, measures
 from paytide.streaming.ingest import LATENESS, SPREAD, bronze_stream, silver_stream
 
 
-def hourly_windows(rows: DataFrame) -> DataFrame:
-    """Measures per event-time hour; the hour's start stands for date and hour."""
+def hourly_windows(rows: DataFrame, window_offset: str = "0 minutes") -> DataFrame:
+    """Measures per event-time hour; the hour's start stands for date and hour.
+
+    Windows are cut at full hours UTC. In a session time zone that is off by part of an
+    hour, `window_offset` moves the cut to its own full hours, e.g. "30 minutes".
+    """
+    hour = F.window("txn_timestamp", "1 hour", startTime=window_offset)
     return (
-        rows.groupBy(F.window("txn_timestamp", "1 hour").alias("_w"))
+        rows.groupBy(hour.alias("_w"))
         .agg(*measures())
         .withColumn("window_start", F.col("_w.start"))
         .drop("_w")
@@ -39,6 +44,7 @@ def start_hourly(
     *,
     lateness: str = LATENESS,
     spread: int = SPREAD,
+    window_offset: str = "0 minutes",
     max_files_per_trigger: int | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
@@ -51,7 +57,7 @@ def start_hourly(
     rows = silver_stream(bronze, lateness=lateness, spread=spread)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        hourly_windows(rows)
+        hourly_windows(rows, window_offset)
         .writeStream.format("parquet")
         .option("path", output_path)
         .option("checkpointLocation", checkpoint)

@@ -128,6 +128,11 @@ def test_export_replaces_folders(spark, sample, paths, tmp_path):
     assert spark.read.parquet(f"{target}/ANOMALY_SUMMARY").count() == 1
 
 
+def test_export_through_a_named_sink(spark, sample, paths):
+    run_pipeline(spark, paths, batch=sample)
+    run_export(spark, paths.gold, fmt="noop", options={"any": "thing"})
+
+
 def test_export_to_catalog_and_presentation_order(spark, bronze_rows, paths):
     batch = bronze_rows(
         {"txn_id": "1", "txn_hour": 9, "sender_bank": "A"},

@@ -112,3 +112,33 @@ def test_hours_close_with_the_watermark(spark, bronze_rows, folders):
     live = present_hours(spark.read.parquet(out), with_processed_at=False)
     hours = [(r.txn_hour, r.total_txns) for r in live.collect()]
     assert hours == [(0, 59), (1, 60), (2, 60), (3, 60), (4, 60)]
+
+
+def test_small_steps_equal_one_step(spark, bronze_rows, folders):
+    bronze, out, checkpoint = folders
+    for batch in range(4):
+        records = [
+            {"txn_id": f"t{i}", "amount": float(i + 1), **at(20 * batch + i % 20)}
+            for i in range(10 * batch, 10 * batch + 25)
+        ]
+        lake.append_bronze(bronze_rows(*records), bronze, batch_date="2026-03-21")
+    start_ingest(
+        spark, bronze, out, checkpoint, max_files_per_trigger=1
+    ).awaitTermination()
+    assert ids(spark, out) == sorted(f"t{i}" for i in range(55))
+
+
+def test_hours_of_a_zone_off_by_half_an_hour(spark, bronze_rows, folders):
+    bronze, out, checkpoint = folders
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        records = [{"txn_id": f"t{i}", **at(i)} for i in range(300)]
+        lake.append_bronze(bronze_rows(*records), bronze)
+        start_hourly(
+            spark, bronze, out, checkpoint, window_offset="30 minutes"
+        ).awaitTermination()
+        live = present_hours(spark.read.parquet(out), with_processed_at=False)
+        hours = [(str(r.txn_date), r.txn_hour, r.total_txns) for r in live.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert hours == [("2026-03-21", 0, 60), ("2026-03-21", 1, 60)]
