@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -23,10 +24,13 @@ def run_gold(
 
     The scan ends in a rollup of a few hundred thousand rows per month at most (days x
     hours x banks x categories), staged in the shared folder. Each table is then a
-    re-aggregation of that rollup.
+    re-aggregation of that rollup. These are small jobs, so they are submitted together.
     """
     rollup = staged(txn_rollup(read_silver(spark, silver_path, since=since, until=until)))
-    return {
-        name: write_gold_table(table, gold_root, name)
-        for name, table in gold_tables(rollup).items()
-    }
+    tables = gold_tables(rollup)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        written = {
+            name: pool.submit(write_gold_table, table, gold_root, name)
+            for name, table in tables.items()
+        }
+    return {name: count.result() for name, count in written.items()}

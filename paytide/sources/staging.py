@@ -19,8 +19,6 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = context.getConf().get(_SETTING)
     if named:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(named)
         return named
     if not context.getCheckpointDir():
         if not context.master.startswith("local"):

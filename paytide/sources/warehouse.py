@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,15 +44,19 @@ def export_tables(
 
     With `root` a table goes to the folder `root/NAME`. Without it, `fmt="jdbc"` or a
     warehouse connector gets the name as its `dbtable` option next to `options`, and
-    writes straight from the executors.
+    writes straight from the executors. The tables are written side by side.
     """
-    for name, df in tables.items():
+
+    def export(name: str, df: DataFrame) -> None:
         writer = prepare_df(df).write.mode("overwrite").format(fmt).options(**(options or {}))
         if root is not None:
             writer.save(f"{root.rstrip('/')}/{name}")
         else:
             writer.option("dbtable", name).save()
 
+    with ThreadPoolExecutor(max(1, len(tables))) as pool:
+        list(pool.map(export, tables.keys(), tables.values()))
+
 
 def export_to_catalog(
     tables: Mapping[str, DataFrame], database: str | None = None, root: str | None = None
