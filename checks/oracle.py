@@ -264,7 +264,7 @@ SQL = {
             case when txn_date = date '2024-01-10' then amount + 1 else amount end as amount
         from silver"""
     ),
-    "pipeline": over_stages("select * from banks"),
+    "pipeline_chain": over_stages("select * from banks"),
     # Export.
     "export_hourly": over_stages(_export("hourly", GOLD_COLUMNS["hourly"])),
     "export_banks": over_stages(_export("banks", GOLD_COLUMNS["banks"])),

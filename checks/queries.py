@@ -301,7 +301,7 @@ def incremental_overwrite(spark, sf_dir):
 
 
 @query
-def pipeline(spark, sf_dir):
+def pipeline_chain(spark, sf_dir):
     """Bronze append, Silver and Gold in one go, seen through the bank table."""
     paths = Paths(*[scratch_path(spark, layer) for layer in ("bronze", "silver", "gold")])
     run_pipeline(spark, paths, batch=bronze(spark, sf_dir))
