@@ -27,7 +27,7 @@ from paytide.llm.text import row_slices, shingles, utf8, words
 
 SLICE_BYTES = 2 << 20
 #: Members of a bucket that one part holds; partners of a document that one group holds.
-PART = 128
+PART = 512
 PARTNERS = 64
 
 
