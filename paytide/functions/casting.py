@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -20,11 +22,14 @@ def _parse_prefix(text: Column, pattern: str, target: str) -> Column:
 
     Text shaped like `pattern` goes through the plain cast, which is several times
     cheaper than the pattern parser and checks the ranges of all fields just the same.
-    Separators stand for themselves and every letter of the pattern for a digit.
+    Separators stand for themselves and every letter of the pattern for a digit. Leading
+    blanks and fields with fewer digits (the year has four) are read too.
     """
     shape = "^" + "".join(r"\d" if c.isalpha() else c for c in pattern)
     prefix = F.substring(text, 1, len(pattern))
-    return F.when(text.rlike(shape), prefix.try_cast(target))
+    fields = re.sub(r"([a-zA-Z])\1*", lambda m: r"\d{4}" if m[0][0] == "y" else r"\d{1,2}", pattern)
+    loose = F.regexp_extract(prefix, rf"^\s*({fields})", 1)
+    return F.when(text.rlike(shape), prefix.try_cast(target)).otherwise(loose.try_cast(target))
 
 
 def conform(column: Column, source: DataType | None, target: DataType) -> Column:

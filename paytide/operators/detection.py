@@ -256,11 +256,17 @@ def iqr_flags(
 ) -> DataFrame:
     """Add `is_iqr_outlier`: the value lies outside its key's fences."""
     fitted = fences if fences is not None else iqr_fences(df, key=key, value=value, **options)
-    joined = attach(df, fitted, [key], weight="n", spread_by=row_id)
-    outside = (F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))
-    return joined.withColumn("is_iqr_outlier", flag(outside)).drop(
-        "n", "q1", "q3", "lower_fence", "upper_fence"
+    # Private names: the caller's own columns may be called `n` or `q1`.
+    private = fitted.select(
+        key,
+        F.col("n").alias("_iqr_n"),
+        F.col("lower_fence").alias("_iqr_lower"),
+        F.col("upper_fence").alias("_iqr_upper"),
     )
+    joined = attach(df, private, [key], weight="_iqr_n", spread_by=row_id)
+    outside = (F.col(value) < F.col("_iqr_lower")) | (F.col(value) > F.col("_iqr_upper"))
+    kept = [c for c in df.columns if c != "is_iqr_outlier"]
+    return joined.select(*kept, flag(outside).alias("is_iqr_outlier"))
 
 
 # --- scoring and alerts ---------------------------------------------------------------

@@ -55,7 +55,13 @@ def attach(
       `rows / max_hot_keys` rows on, so there are at most `max_hot_keys` of them whatever
       the size of the table, and those are broadcast. Their rows take the answer from
       the broadcast and travel under a hash of `spread_by`, evenly over all tasks.
+
+    A lookup column that `rows` have too, other than the keys, is an error. Staging and
+    measuring run jobs while the frame is being built.
     """
+    clash = sorted({c for c in lookup.columns if c not in keys} & set(rows.columns))
+    if clash:
+        raise ValueError(f"columns on both sides: {', '.join(clash)}")
     lookup = staged(lookup)
     size, total = _measure(lookup, weight)
     payload = [c for c in lookup.columns if c not in keys]

@@ -54,9 +54,11 @@ def run_silver(
     `validation_audit` where the numbers have to be exact.
 
     With `since` / `until` only those batch days are read, so a copy of an id filed under
-    another day is not seen; together with `incremental` only those days are replaced.
+    another day is not seen, and only the days that are read are replaced: a range implies
+    `incremental`, so it never removes other days.
     """
-    if incremental and date_from_event and (since or until):
+    incremental = incremental or bool(since or until)
+    if date_from_event and (since or until):
         # A late row would replace the whole of its event day with itself.
         raise ValueError("event days cannot be replaced from a range of batch days")
     loaded, checked = Observation("bronze"), Observation("validation")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paytide import schema as s
+from paytide.functions.casting import conform
 
 PARTITION = "txn_date"
 
@@ -60,10 +61,13 @@ def append_bronze(
     """Add one batch to the Bronze table; earlier batches stay.
 
     Every column is written with its declared type, also when it holds no value at all,
-    so that all files of the table agree. `batch_date` files the whole batch under one
+    so that all files of the table agree; a value that does not fit becomes NULL and does
+    not fail the batch. `batch_date` files the whole batch under one
     day; without it each row goes to the day in its own `txn_date`.
     """
-    out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in s.BRONZE])
+    out = df.select(
+        *[conform(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name) for f in s.BRONZE]
+    )
     if batch_date is not None:
         out = out.withColumn(PARTITION, F.lit(str(batch_date)))
     _by_day(out, compact).write.mode("append").partitionBy(PARTITION).parquet(path)

@@ -264,3 +264,11 @@ def test_empty_input(silver_rows):
     assert detection.iqr_flags(empty).count() == 0
     assert detection.confusion(empty, F.col("is_anomaly")).count() == 0
     assert Counter(r.tp for r in detection.detector_score(empty, ["is_anomaly"]).collect()) == {0: 1}
+
+
+def test_iqr_flags_keep_the_callers_columns(spark):
+    rows = [(f"t{i}", "SBI", float(i % 7), i, "own") for i in range(40)] + [("t99", "SBI", 900.0, 5, "own")]
+    df = spark.createDataFrame(rows, "txn_id string, sender_bank string, amount double, n int, q1 string")
+    out = detection.iqr_flags(df)
+    assert out.columns == [*df.columns, "is_iqr_outlier"]
+    assert {(r.txn_id, r.n, r.q1) for r in out.filter("is_iqr_outlier").collect()} == {("t99", 5, "own")}

@@ -154,3 +154,27 @@ def test_export_to_catalog_and_presentation_order(spark, bronze_rows, paths):
     ]
     kpi = views.kpis(tables["HOURLY_TXN_SUMMARY"], tables["ANOMALY_SUMMARY"]).first()
     assert (kpi.total_txns, kpi.total_volume, kpi.total_anomalies) == (3, 4500.0, 0)
+
+
+def test_silver_range_leaves_other_days(spark, bronze_rows, tmp_path):
+    from paytide.plans.silver import run_silver
+    from paytide.sources import lake
+
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    lake.append_bronze(bronze_rows({"txn_id": "a"}, {"txn_id": "b"}), bronze, "2026-03-21")
+    run_silver(spark, bronze, silver)
+    run_silver(spark, bronze, silver, since="2030-01-01")
+    assert lake.read_silver(spark, silver).count() == 2
+
+
+def test_timestamps_of_short_fields_and_leading_blanks(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from paytide.functions.casting import conform
+
+    texts = ["2026-3-21 9:05:00", " 2026-03-21 10:00:00", "2026-03-21 10:00:00.5", "garbage", "2026-13-21 10:00:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    read = conform(F.col("t"), T.StringType(), T.TimestampType()).cast("string")
+    got = [r[0] for r in df.select(read).collect()]
+    assert got == ["2026-03-21 09:05:00", "2026-03-21 10:00:00", "2026-03-21 10:00:00", None, None]
