@@ -331,5 +331,7 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = False) ->
         batch = pa.RecordBatch.from_arrays(arrays, names=names)
         return batch if with_payload else batch.select(names[:-1])
 
-    files = spark.read.parquet(f"{target}/_manifest").select("file").repartition("file")
+    files = spark.read.parquet(f"{target}/_manifest").select("file")
+    # A number of its own keeps the few small rows from being gathered into one task.
+    files = files.repartition(max(1, min(files.count(), 10_000)), "file")
     return files.mapInArrow(read, RECORDS + ", payload binary" * with_payload)
