@@ -27,7 +27,7 @@ from paytide.plans.silver import cleaned, run_silver, silver
 from paytide.sources import lake
 from paytide.sources.staging import scratch_path
 from paytide.streaming.hourly import start_hourly
-from paytide.streaming.ingest import start_ingest
+from paytide.streaming.ingest import settle, start_ingest
 
 
 def session(cpus: str) -> SparkSession:
@@ -58,14 +58,16 @@ def jobs(spark: SparkSession, sf_dir: str, at: Paths) -> dict[str, Callable[[],
     def fresh(label: str) -> str:
         return scratch_path(spark, label)
 
+    def ingest_and_settle(log: str) -> None:
+        start_ingest(spark, at.bronze, log, fresh("ingest")).awaitTermination()
+        settle(spark, log, fresh("settled"))
+
     # Jobs that end in their own sink return nothing.
     ending: dict[str, Callable] = {
         "silver_job": lambda: run_silver(spark, at.bronze, fresh("silver")),
         "gold_job": lambda: run_gold(spark, at.silver, fresh("gold")),
         "export_job": lambda: run_export(spark, at.gold, root=fresh("warehouse")),
-        "stream_ingest": lambda: start_ingest(
-            spark, at.bronze, fresh("live"), fresh("ingest")
-        ).awaitTermination(),
+        "stream_ingest": lambda: ingest_and_settle(fresh("live")),
         "stream_hourly": lambda: start_hourly(
             spark, at.bronze, fresh("hours"), fresh("hourly")
         ).awaitTermination(),

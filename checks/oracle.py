@@ -336,6 +336,10 @@ SQL = {
         group by o_custkey, o_orderdate""",
     # Streaming: every row of the clean stream, and the hours closed by the watermark.
     "stream_ingest": over_stages(_SILVER),
+    "stream_small_steps": over_stages(
+        "select * exclude (txn_date, day_of_week, week_of_year)"
+        f" from (select {', '.join(_SILVER_NAMES)} from silver) as s"
+    ),
     "stream_hourly": over_stages(
         f"""select cast(w as date) as txn_date, cast(hour(w) as integer) as txn_hour,
             {_n()} as total_txns, {_n("status = 'SUCCESS'")} as successful_txns,

@@ -19,7 +19,7 @@ from paytide.plans.silver import cleaned, run_silver, silver
 from paytide.sources import lake, warehouse
 from paytide.sources.staging import scratch_path, staged
 from paytide.streaming.hourly import present_hours, start_hourly
-from paytide.streaming.ingest import start_ingest
+from paytide.streaming.ingest import read_live, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -495,9 +495,28 @@ def orders_velocity(spark, sf_dir):
 @query
 def stream_ingest(spark, sf_dir):
     """All of Bronze through the streaming Silver job."""
-    target, checkpoint = (scratch_path(spark, label) for label in ("live", "ingest"))
-    start_ingest(spark, _bronze_folder(spark, sf_dir), target, checkpoint).awaitTermination()
-    return _without_stamp(lake.read_silver(spark, target))
+    log, checkpoint = (scratch_path(spark, label) for label in ("live", "ingest"))
+    start_ingest(spark, _bronze_folder(spark, sf_dir), log, checkpoint).awaitTermination()
+    return read_live(spark, log, with_processed_at=False)
+
+
+@query
+def stream_small_steps(spark, sf_dir):
+    """All of Bronze in six files out of order, one per micro-batch; the last repeats every
+    row a day later. Columns that follow from the batch's day are left out."""
+    rows = bronze(spark, sf_dir)
+    folder, log, checkpoint = (scratch_path(spark, label) for label in ("steps", "live", "ingest"))
+    moment = F.try_to_timestamp("txn_timestamp")
+    later = F.date_format(moment + F.expr("interval 1 day"), "yyyy-MM-dd HH:mm:ss")
+    repeats = rows.withColumn("txn_timestamp", later).filter("txn_timestamp IS NOT NULL")
+    part = F.pmod(F.xxhash64("txn_id", "txn_timestamp"), F.lit(5))
+    for step in (3, 0, 4, 1, 2):
+        lake.append_bronze(rows.filter(part == step), folder, "2026-03-21")
+    lake.append_bronze(repeats, folder, "2026-03-22")
+    start_ingest(spark, folder, log, checkpoint, max_files_per_trigger=1).awaitTermination()
+    return read_live(spark, log, with_processed_at=False).drop(
+        "txn_date", "day_of_week", "week_of_year"
+    )
 
 
 @query

@@ -7,7 +7,7 @@ from paytide.operators.summaries import SUMMARIES
 from paytide.plans.silver import silver
 from paytide.sources import lake
 from paytide.streaming.hourly import present_hours, start_hourly
-from paytide.streaming.ingest import start_ingest
+from paytide.streaming.ingest import read_live, settle, start_ingest
 
 
 @pytest.fixture
@@ -25,7 +25,7 @@ def at(minutes):
 
 
 def ids(spark, path):
-    return sorted(r.txn_id for r in lake.read_silver(spark, path).collect())
+    return sorted(r.txn_id for r in read_live(spark, path).collect())
 
 
 def test_stream_equals_batch(spark, bronze_rows, folders):
@@ -41,24 +41,22 @@ def test_stream_equals_batch(spark, bronze_rows, folders):
         records.append(change)
     lake.append_bronze(bronze_rows(*records), bronze)
     start_ingest(spark, bronze, out, checkpoint).awaitTermination()
-    live = lake.read_silver(spark, out).drop("processed_at")
+    live = read_live(spark, out).drop("processed_at")
     batch = silver(lake.read_bronze(spark, bronze)).drop("processed_at")
     assert live.exceptAll(batch).isEmpty() and batch.exceptAll(live).isEmpty()
 
 
-@pytest.mark.parametrize("spread", [1, 16])
-def test_repeats_are_dropped_across_batches(spark, bronze_rows, folders, spread):
+def test_repeats_are_dropped_across_batches(spark, bronze_rows, folders):
     bronze, out, checkpoint = folders
-    options = {"spread": spread}
     lake.append_bronze(
         bronze_rows({"txn_id": "a", **at(0)}, {"txn_id": "a", **at(1)}, {"txn_id": "b", **at(2)}),
         bronze,
     )
-    start_ingest(spark, bronze, out, checkpoint, **options).awaitTermination()
+    start_ingest(spark, bronze, out, checkpoint).awaitTermination()
     lake.append_bronze(
         bronze_rows({"txn_id": "a", **at(3)}, {"txn_id": "c", **at(4)}), bronze
     )
-    start_ingest(spark, bronze, out, checkpoint, **options).awaitTermination()
+    start_ingest(spark, bronze, out, checkpoint).awaitTermination()
     assert ids(spark, out) == ["a", "b", "c"]
 
 
@@ -78,15 +76,14 @@ def test_invalid_first_copy_also_takes_the_id_in_a_stream(spark, bronze_rows, fo
     assert ids(spark, out) == []
 
 
-@pytest.mark.parametrize("spread", [1, 16])
-def test_flooding_id(spark, bronze_rows, folders, spread):
+def test_flooding_id(spark, bronze_rows, folders):
     """A third of the rows repeat one id."""
     bronze, out, checkpoint = folders
     records = [
         {"txn_id": "hot" if i % 3 == 0 else f"t{i}", **at(i % 60)} for i in range(600)
     ]
     lake.append_bronze(bronze_rows(*records).repartition(8), bronze)
-    start_ingest(spark, bronze, out, checkpoint, spread=spread).awaitTermination()
+    start_ingest(spark, bronze, out, checkpoint).awaitTermination()
     assert len(ids(spark, out)) == 401
 
 
@@ -142,3 +139,39 @@ def test_hours_of_a_zone_off_by_half_an_hour(spark, bronze_rows, folders):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert hours == [("2026-03-21", 0, 60), ("2026-03-21", 1, 60)]
+
+
+def test_late_rows_and_late_repeats_end_as_in_batch(spark, bronze_rows, folders, tmp_path):
+    """One file per trigger, far out of order; a repeat a day later; a late earlier copy."""
+    bronze, out, checkpoint = folders
+    day = 24 * 60
+    steps = [
+        [{"txn_id": "a", **at(600)}, {"txn_id": "x", "amount": 5.0, **at(600)}],
+        [{"txn_id": "b", **at(1200)}],
+        [{"txn_id": "c", **at(1320)}],
+        [{"txn_id": "late", **at(720)}],
+        [{"txn_id": "a", "amount": 7.0, **at(600 + day)}],
+        [{"txn_id": "x", "amount": -5.0, **at(60)}, {"txn_id": "b", "amount": 3.0, **at(30)}],
+    ]
+    for records in steps:
+        lake.append_bronze(bronze_rows(*records).coalesce(1), bronze)
+        start_ingest(
+            spark, bronze, out, checkpoint, max_files_per_trigger=1
+        ).awaitTermination()
+    settled = str(tmp_path / "settled")
+    settle(spark, out, settled)
+    batch = silver(lake.read_bronze(spark, bronze)).drop("processed_at")
+    assert ids(spark, out) == ["a", "b", "c", "late"]
+    for live in (read_live(spark, out), lake.read_silver(spark, settled)):
+        live = live.drop("processed_at")
+        assert live.exceptAll(batch).isEmpty() and batch.exceptAll(live).isEmpty()
+
+
+def test_another_query_on_the_same_log_replaces_nothing(spark, bronze_rows, folders, tmp_path):
+    bronze, out, checkpoint = folders
+    lake.append_bronze(bronze_rows({"txn_id": "a", **at(0)}), bronze)
+    start_ingest(spark, bronze, out, checkpoint).awaitTermination()
+    other = str(tmp_path / "other")
+    lake.append_bronze(bronze_rows({"txn_id": "b", **at(1)}), other)
+    start_ingest(spark, other, out, str(tmp_path / "checkpoint2")).awaitTermination()
+    assert ids(spark, out) == ["a", "b"]
