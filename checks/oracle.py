@@ -293,6 +293,17 @@ SQL = {
             abs((amount - m) / sd) > 3 as is_zscore_outlier
         from silver join profile on sender_bank = b"""
     ),
+    "zscore_stored_profile": over_stages(
+        f"""select txn_id, {r2('(amount - m) / sd')} as z_score,
+            abs((amount - m) / sd) > 3 as is_zscore_outlier
+        from silver join profile on sender_bank = b"""
+    ),
+    "iqr_keeps_columns": over_stages(
+        """select txn_id, txn_hour as n, amount as q1,
+            amount < lower_fence or amount > upper_fence as is_iqr_outlier
+        from (select txn_id, txn_hour, amount, sender_bank from silver) as s
+        join fences on sender_bank = b"""
+    ),
     "iqr_fences": over_stages(
         f"""select b as sender_bank, n, {r2('q1')} as q1, {r2('q3')} as q3,
             {r2('lower_fence')} as lower_fence, {r2('upper_fence')} as upper_fence

@@ -394,6 +394,22 @@ def zscore(spark, sf_dir):
     )
 
 
+@query
+def zscore_stored_profile(spark, sf_dir):
+    """The profile is a stored table; all rows are scored against it."""
+    rows = staged(_silver(spark, sf_dir))
+    profile = staged(detection.group_profile(rows))
+    flagged = detection.zscore_flags(rows, profile)
+    return flagged.select("txn_id", money(F.col("z_score")).alias("z_score"), "is_zscore_outlier")
+
+
+@query
+def iqr_keeps_columns(spark, sf_dir):
+    """The caller's own `n` and `q1` stay as they are."""
+    rows = staged(_silver(spark, sf_dir).withColumns({"n": F.col("txn_hour"), "q1": F.col("amount")}))
+    return detection.iqr_flags(rows).select("txn_id", "n", "q1", "is_iqr_outlier")
+
+
 @query
 def iqr_fences(spark, sf_dir):
     fences = _silver(spark, sf_dir).transform(detection.iqr_fences)

@@ -136,7 +136,8 @@ def zscore_flags(
     from `df` itself. A key without spread has no score.
     """
     fitted = profile if profile is not None else group_profile(df, key, value)
-    joined = attach(df, fitted, [key], weight="profile_rows", spread_by=row_id)
+    weight = "profile_rows" if profile is None else None  # history does not weigh these rows
+    joined = attach(df, fitted, [key], weight=weight, spread_by=row_id)
     z = F.try_divide(F.col(value) - F.col("profile_mean"), F.col("profile_stddev"))
     return (
         joined.withColumn("z_score", z)
@@ -263,7 +264,8 @@ def iqr_flags(
         F.col("lower_fence").alias("_iqr_lower"),
         F.col("upper_fence").alias("_iqr_upper"),
     )
-    joined = attach(df, private, [key], weight="_iqr_n", spread_by=row_id)
+    weight = "_iqr_n" if fences is None else None  # history does not weigh these rows
+    joined = attach(df, private, [key], weight=weight, spread_by=row_id)
     outside = (F.col(value) < F.col("_iqr_lower")) | (F.col(value) > F.col("_iqr_upper"))
     kept = [c for c in df.columns if c != "is_iqr_outlier"]
     return joined.select(*kept, flag(outside).alias("is_iqr_outlier"))

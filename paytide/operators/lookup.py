@@ -15,8 +15,8 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 MAX_HOT_KEYS = 50_000
 
 
-def _measure(lookup: DataFrame, weight: str) -> tuple[int, int]:
-    """Bytes held by a (staged) lookup and the number of rows its keys stand for."""
+def _bytes(lookup: DataFrame) -> int:
+    """Bytes held by a (staged) lookup."""
 
     def width(field) -> Column:
         if isinstance(field.dataType, (StringType, BinaryType)):
@@ -24,8 +24,13 @@ def _measure(lookup: DataFrame, weight: str) -> tuple[int, int]:
         return F.lit(8)
 
     size = reduce(Column.__add__, [width(f) for f in lookup.schema])
-    row = lookup.agg(F.sum(size).alias("bytes"), F.sum(weight).alias("rows")).first()
-    return row["bytes"] or 0, row["rows"] or 0
+    return lookup.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+
+
+def _heaviest(weights: DataFrame, weight: str, at_most: int) -> DataFrame:
+    """Keys standing for at least one in `at_most` of all rows, so no more than that many."""
+    total = weights.agg(F.sum(weight).alias("rows")).first()["rows"] or 0
+    return weights.filter(F.col(weight) >= max(1, total // at_most + 1))
 
 
 def _left(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -40,15 +45,17 @@ def attach(
     lookup: DataFrame,
     keys: Sequence[str],
     *,
-    weight: str,
+    weight: str | None,
     spread_by: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Left-join `lookup` (one row per key) to `rows`, keeping every row.
 
-    `weight` is the lookup column holding how many of `rows` share the key. The lookup
-    is staged and measured first; then
+    `weight` is the lookup column holding how many of `rows` share the key. A lookup made
+    from other rows does not know that: with None the keys of `rows` are counted, so that
+    a key which is newly busy, or absent from the lookup, is spread as well. The lookup is
+    staged and measured first; then
 
     * a lookup of at most `broadcast_bytes` is broadcast and `rows` are not shuffled;
     * a larger one is shuffled, except for its heaviest keys. A key counts as heavy from
@@ -63,16 +70,19 @@ def attach(
     if clash:
         raise ValueError(f"columns on both sides: {', '.join(clash)}")
     lookup = staged(lookup)
-    size, total = _measure(lookup, weight)
     payload = [c for c in lookup.columns if c not in keys]
-    if size <= broadcast_bytes:
+    if _bytes(lookup) <= broadcast_bytes:
         return _left(rows, F.broadcast(lookup), keys)
 
-    hot_from = max(1, total // max_hot_keys + 1)
-    hot = lookup.filter(F.col(weight) >= hot_from).select(
+    if weight is None:
+        counted = staged(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
+        heavy = _left(_heaviest(counted, "_rows", max_hot_keys), lookup, keys)
+    else:
+        heavy = _heaviest(lookup, weight, max_hot_keys)
+    hot = heavy.select(
         *keys, *[F.col(c).alias(f"_hot_{c}") for c in payload], F.lit(True).alias("_is_hot")
     )
-    cold = lookup.filter(F.col(weight) < hot_from).withColumn("_salt", F.lit(0).cast("long"))
+    cold = lookup.withColumn("_salt", F.lit(0).cast("long"))
     salted = _left(rows, F.broadcast(hot), keys).withColumn(
         "_salt",
         F.when(F.col("_is_hot"), F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("long")),
