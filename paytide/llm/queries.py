@@ -98,6 +98,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("base_spans", 256).alias("base_sha256"),
         "spans",
         "n_model",
+        "n_confirmed",
     )
 
 

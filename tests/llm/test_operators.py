@@ -207,9 +207,13 @@ def test_secrets(spark):
         spans += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
         assert got[i].base_spans == secrets.joined(spans)
         assert set(got[i].base_spans.split(",")) <= set(got[i].spans.split(","))
+        assert 0 <= got[i].n_confirmed <= len(spans)
     clean = {r.doc_id: r.text for r in secrets.redact(docs, model).collect()}
     assert all(clean[i] == t for i, t in enumerate(AWKWARD)) and "[secret]" in clean[20]
     assert model.recall >= 0.99 and len(got) == len(texts)
+    assert sum(r.n_confirmed for r in got.values()) >= 0.9 * sum(
+        r.n_assign + r.n_access + r.n_hex for r in got.values()
+    )
     none = secrets.fit(secrets.labelled_findings(docs.filter("false")))
     assert secrets.find_secrets(docs.filter("false"), none).count() == 0
 
