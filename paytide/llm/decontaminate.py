@@ -8,7 +8,7 @@
    share of the passage's squared length there: the cosine, made fit for a passage that is a
    part of a window. A passage is short enough for a window to hold more than that share.
 4. A candidate is a leak if the longest common subsequence of the item and the words around
-   the window covers enough of the item, and of the item's end (or its given answer).
+   the window covers enough of the item, and of its answer where a column gives one.
 """
 
 from __future__ import annotations
@@ -87,6 +87,7 @@ class Index:
     """A block of benchmark items in the latent space."""
 
     def __init__(self, items: list[tuple], idf: np.ndarray):
+        # An answer without words asks for nothing.
         self.ids = [i for i, _, _ in items]
         self.words = [w for _, w, _ in items]
         self.answers = [a for _, _, a in items]
@@ -245,18 +246,19 @@ def find_leaks(
     Words are runs of other bytes than white space with A-Z lower-cased. Null, empty and
     blank texts hold no leak and items without words leak nowhere; an empty table gives no
     rows; repeated rows are reported each. `overlap` is the share of the item's words in
-    the longest common subsequence. Without `answer_col` the last fifth of an item stands
-    for its answer. Documents are only read, never shuffled; a benchmark of more than
+    the longest common subsequence. With `answer_col` the text must also cover
+    `answer_cover` of that answer's words; without it `cover` decides alone, so a copy that
+    lost its end is a leak like any other. Documents are only read, never shuffled; a benchmark of more than
     `block_bytes` is taken in blocks, one pass each, so what is sent to the tasks is
     bounded. Other columns are not read.
     """
     docs = narrowed(df, doc_id=id_col, text=text_col)
     columns = {"id": item_col, "text": item_text_col}
-    items = narrowed(benchmark, **columns, answer=answer_col or item_text_col)
+    if answer_col is not None:
+        columns["answer"] = answer_col
+    items = narrowed(benchmark, **columns)
     if answer_col is None:
-        every = F.split(F.trim(F.col("text")), "\\s+")
-        last = F.greatest(F.lit(1), F.ceil(F.size(every) / 5)).cast("int")
-        items = items.withColumn("answer", F.array_join(F.slice(every, -F.least(last, F.size(every)), last), " "))
+        items = items.withColumn("answer", F.lit(""))
     total, frequency = document_frequencies(docs)
     idf = np.log((1 + total) / (1 + frequency)) + 0.1
 

@@ -265,6 +265,23 @@ def test_leaks(spark):
     assert common_subsequence(a, b) == 4
 
 
+def test_leaks_without_the_end_of_an_item(spark):
+    importable(spark)
+    draw = random.Random(11)
+    words = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 8))) for _ in range(900)]
+    items = [" ".join(draw.choices(words, k=40)) for _ in range(6)]
+    texts = []
+    for i, item in enumerate(items):  # the first 80 %, cut off or reworded
+        ending = [] if i % 2 else [f"other{j}" for j in range(8)]
+        texts.append(" ".join([*draw.choices(words, k=50), *item.split()[:32], *ending]))
+    docs = staged(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = [(i, item, " ".join(item.split()[32:])) for i, item in enumerate(items)]
+    benchmark = staged(spark.createDataFrame(rows, "item_id long, text string, answer string"))
+    got = {(r.doc_id, r.item_id, r.common_words >= 32) for r in find_leaks(docs, benchmark).collect()}
+    assert got == {(i, i, True) for i in range(6)}
+    assert find_leaks(docs, benchmark, answer_col="answer").count() == 0  # a given answer is asked for
+
+
 def test_licenses(spark):
     rows = [
         (1, "a/LICENSE", "Released under the MIT License."),
