@@ -282,6 +282,41 @@ def test_leaks_without_the_end_of_an_item(spark):
     assert find_leaks(docs, benchmark, answer_col="answer").count() == 0  # a given answer is asked for
 
 
+def test_leaks_of_loose_copies_equal_brute_force(spark):
+    importable(spark)
+    draw = random.Random(12)
+    words = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 8))) for _ in range(900)]
+    common = [1 / (k + 1) for k in range(900)]  # some words are far more frequent
+    items = [draw.choices(words, common, k=draw.choice([15, 32, 33, 48, 59, 130])) for _ in range(24)]
+    texts = []
+    for item in items:
+        replaced = list(item)
+        for j in draw.sample(range(len(item)), int(0.29 * len(item))):
+            replaced[j] = f"other{j}"
+        spread = [x for w in item for x in (w, draw.choice(words))]
+        for copy in (replaced, spread, draw.sample(item, len(item)), item[: len(item) // 2]):
+            texts.append([*draw.choices(words, k=draw.randint(0, 90)), *copy, *draw.choices(words, k=90)])
+    number = {w: i for i, w in enumerate(sorted({w for t in texts + items for w in t}))}
+    coded = [np.array([number[w] for w in t]) for t in texts]
+    want = set()
+    for i, item in enumerate(items):
+        a, span = np.array([number[w] for w in item]), 2 * len(item) + 32
+        for d, t in enumerate(coded):
+            if any(
+                common_subsequence(a, t[s : s + span]) >= 0.7 * len(a) for s in range(max(1, len(t) - span + 1))
+            ):
+                want.add((d, i))
+    assert len(want) >= 48
+    rows = [(d, " ".join(t)) for d, t in enumerate(texts)]
+    docs = staged(spark.createDataFrame(rows, "doc_id long, text string"))
+    bench = [(i, " ".join(t)) for i, t in enumerate(items)]
+    benchmark = staged(spark.createDataFrame(bench, "item_id long, text string"))
+    for rank in (256, 6):  # in six dimensions most of the weight is outside of the space
+        got = {(r.doc_id, r.item_id): r.overlap for r in find_leaks(docs, benchmark, rank=rank).collect()}
+        assert want <= set(got) and min(got.values()) >= 0.7
+        assert len(got) <= 1.05 * len(want)  # windows are a little longer than the stretches
+
+
 def test_licenses(spark):
     rows = [
         (1, "a/LICENSE", "Released under the MIT License."),
