@@ -28,7 +28,8 @@ def _parse_prefix(text: Column, pattern: str, target: str) -> Column:
     shape = "^" + "".join(r"\d" if c.isalpha() else c for c in pattern)
     prefix = F.substring(text, 1, len(pattern))
     fields = re.sub(r"([a-zA-Z])\1*", lambda m: r"\d{4}" if m[0][0] == "y" else r"\d{1,2}", pattern)
-    loose = F.regexp_extract(prefix, rf"^\s*({fields})", 1)
+    # On the whole text: cut to the pattern's length, each blank would cost a digit at the end.
+    loose = F.regexp_extract(text, rf"^\s*({fields})", 1)
     return F.when(text.rlike(shape), prefix.try_cast(target)).otherwise(loose.try_cast(target))
 
 

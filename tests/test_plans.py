@@ -178,3 +178,24 @@ def test_timestamps_of_short_fields_and_leading_blanks(spark):
     read = conform(F.col("t"), T.StringType(), T.TimestampType()).cast("string")
     got = [r[0] for r in df.select(read).collect()]
     assert got == ["2026-03-21 09:05:00", "2026-03-21 10:00:00", "2026-03-21 10:00:00", None, None]
+
+
+def test_leading_blanks_cost_no_digits(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from paytide.functions.casting import conform
+
+    def read(texts, kind):
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        return [r[0] for r in df.select(conform(F.col("t"), T.StringType(), kind).cast("string")).collect()]
+
+    times = [" 2026-03-21 10:00:45", "   2026-03-21 10:00:45.9", "\t2026-3-21 9:05:07", " 2026-03-21"]
+    assert read(times, T.TimestampType()) == [
+        "2026-03-21 10:00:45",
+        "2026-03-21 10:00:45",
+        "2026-03-21 09:05:07",
+        None,
+    ]
+    days = [" 2026-03-21", "  2026-03-21", "    2026-03-21 10:00:45", " 2026-3-21", " 2026-13-21"]
+    assert read(days, T.DateType()) == ["2026-03-21"] * 4 + [None]
