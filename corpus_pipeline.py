@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from paytide.llm import quality, secrets
 from paytide.llm.decontaminate import find_leaks
-from paytide.llm.frames import importable, scratch_path
+from paytide.llm.frames import fresh, importable, scratch_path, staged
 from paytide.llm.minhash import near_duplicates
 from paytide.llm.packing import pack
 from paytide.llm.queries import KEEP_FROM, table
@@ -32,10 +32,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of every group of near duplicates."""
+    """Keeps one row of every group of near duplicates, that of the smallest id; rows are told
+    apart by a key of their own, so repeated and missing ids are compared too."""
     importable(spark)
-    dropped = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    (key,) = fresh(docs, "row_key")
+    keyed = staged(docs.withColumn(key, F.monotonically_increasing_id()))
+    found = near_duplicates(keyed, id_col=key).select(
+        F.col("doc_id").alias(key),
+        # Texts without words are in no group.
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(-1 - F.col("doc_id")).alias("of"),
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", F.col(key).alias("key")))
+    kept = found.join(keyed.select(key, "doc_id"), key).groupBy("of").agg(first.alias("first"))
+    return keyed.join(kept.select(F.col("first.key").alias(key)), key, "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,15 @@ def test_stages_take_effect(spark):
     assert set(packed.doc_id) == set(rows)
     assert quality.scored(docs, quality.Model(3)).count() == len(texts)
     assert len(QUERIES) == 10
+
+
+def test_one_row_of_each_group_of_near_duplicates(spark):
+    words = [f"w{i}" for i in range(40)]
+    text, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(reversed(words))
+    rows = [(5, text), (5, text), (3, near), (None, text), (None, other), (None, other), (5, "quite another")]
+    rows += [(8, None), (8, None), (9, " ")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row_key int")
+    got = corpus_pipeline.near_duplicate_removal(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    kept = [(None, other), (3, near), (5, "quite another"), (8, None), (8, None), (9, " ")]
+    assert sorted((repr(r.doc_id), repr(r.text)) for r in got.collect()) == sorted((repr(a), repr(b)) for a, b in kept)
