@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytide.llm import licenses, quality, secrets
+from paytide.llm import licenses, quality, secrets, urlfilter
 from paytide.llm.decontaminate import find_leaks
 from paytide.llm.frames import importable, scratch_path
 from paytide.llm.minhash import near_duplicates
@@ -106,6 +106,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), vocabulary="byte_bpe_50k.json", capacity=2048, end_id=1)
 
 
+# Host, path and action of the rules for pages.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    judged = urlfilter.judge_urls(pages, rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -119,10 +136,12 @@ QUERIES: dict[str, Query] = {
         op8_tokens,
         op9_secrets,
         op10_packing,
+        op12_urls,
     )
 }
 
 #: The other operators have no SQL for whole tables; tests hold them against brute force.
 SQL: dict[str, str] = {
     "op4_licenses": licenses.oracle(f"SELECT doc_id, {PATH} AS path, text FROM documents"),
+    "op12_urls": urlfilter.oracle(URL_RULES),
 }
