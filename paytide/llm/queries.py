@@ -16,6 +16,7 @@ from paytide.llm.shards import uniform_shards
 from paytide.llm.tokens import token_counts
 from paytide.llm.vectors import near_duplicate_vectors
 from paytide.llm.warc import read_archive, write_archive
+from paytide.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +124,10 @@ def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -137,6 +142,7 @@ QUERIES: dict[str, Query] = {
         op9_secrets,
         op10_packing,
         op12_urls,
+        op13_whitening,
     )
 }
 
