@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytide.llm import licenses, quality, secrets, urlfilter
+from paytide.llm.alignment import align_tokenizers
 from paytide.llm.decontaminate import find_leaks
 from paytide.llm.frames import importable, scratch_path
 from paytide.llm.minhash import near_duplicates
@@ -107,6 +108,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), vocabulary="byte_bpe_50k.json", capacity=2048, end_id=1)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(documents(spark, sf_dir))
+
+
 # Host, path and action of the rules for pages.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -141,6 +146,7 @@ QUERIES: dict[str, Query] = {
         op8_tokens,
         op9_secrets,
         op10_packing,
+        op11_alignment,
         op12_urls,
         op13_whitening,
     )
