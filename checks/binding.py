@@ -2,24 +2,21 @@
 
 Every expression is plain SQL that Spark and DuckDB evaluate alike, so both sides start
 from the same rows. `k` is the event id; its remainders place nulls, invalid values and
-retried copies. Amounts come out as whole numbers, which keeps double sums exact.
+retried copies. Amounts have cents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The names the raw transactions draw from.
-BANKS = "SBI,HDFC,ICICI,Axis,Kotak,PNB,BOB,Canara,Union,IDFC"
-FAILURE_REASONS = (
-    "Insufficient funds,Bank server timeout,Invalid VPA,Daily limit exceeded,UPI PIN incorrect"
-)
+# Invented names the raw transactions draw from.
+BANKS = "Alder,Birch,Cedar,Dogwood,Elm,Fir,Ginkgo,Hazel,Ironwood,Juniper"
+FAILURE_REASONS = "No cover,No answer,Unknown payee,Over limit,Wrong code"
 MERCHANT_CATEGORIES = (
-    "Food & Beverage,Grocery,Fuel,E-commerce,Utilities,Education,Healthcare,Travel,"
-    "Entertainment,Clothing,Electronics,Insurance"
+    "Bakery,Books,Cycling,Dairy,Flowers,Garden,Hardware,Music,Optics,Paper,Shoes,Toys"
 )
-DEVICES = "Android,iOS,Web"
-APPS = "GPay,PhonePe,Paytm,BHIM,AmazonPay"
+DEVICES = "Phone,Tablet,Desk"
+APPS = "Alpha,Beta,Gamma,Delta,Epsilon"
 
 
 def _pick(names: str, position: str) -> str:
@@ -53,7 +50,8 @@ COLUMNS = {
     "receiver_bank": _pick(BANKS, "user_id * 3 + event_id"),
     "amount": "case when event_id % 103 = 0 then cast(1500000 as double)"
     " when event_id % 107 = 0 then cast(-25 as double)"
-    " else cast(cast(value as decimal(12,2)) * 2500 as double) end",
+    " else cast(cast(value as decimal(12,2)) * 2500"
+    " + cast(event_id % 100 as decimal(4,0)) * cast(0.01 as decimal(3,2)) as double) end",
     "currency": "'INR'",
     "status": _STATUS,
     "failure_reason": f"case when {_STATUS} = 'FAILED'"

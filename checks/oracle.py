@@ -36,6 +36,11 @@ def _n(condition: str | None = None) -> str:
     return "cast(count(*)" + (f" filter (where {condition})" if condition else "") + " as bigint)"
 
 
+def _sum(column: str, digits: int = 4) -> str:
+    """Exact sum of amounts of a few decimals, as a double."""
+    return f"cast(sum(cast({column} as decimal(18,{digits}))) as double)"
+
+
 _RULES = {
     "amount_positive": "amount > 0",
     "amount_within_limit": "amount <= 1000000",
@@ -70,27 +75,27 @@ _STAGES = {
             {_n("status = 'SUCCESS'")} as successful_txns,
             {_n("status = 'FAILED'")} as failed_txns,
             {_n("status = 'PENDING'")} as pending_txns,
-            {r2("sum(amount)")} as total_amount, {r2("avg(amount)")} as avg_amount,
+            {r2(_sum("amount"))} as total_amount, {r2(f"{_sum('amount')} / count(amount)")} as avg_amount,
             {r2("max(amount)")} as max_amount,
             {r2("count(*) filter (where status = 'SUCCESS') / count(*) * 100")} as success_rate,
             {r2("count(*) filter (where status = 'FAILED') / count(*) * 100")} as failure_rate
         from silver group by txn_date, txn_hour""",
     "banks": f"""
         select sender_bank, {_n()} as total_txns, {_n("status = 'FAILED'")} as failed_txns,
-            {r2("sum(amount)")} as total_amount, {r2("avg(amount)")} as avg_amount,
+            {r2(_sum("amount"))} as total_amount, {r2(f"{_sum('amount')} / count(amount)")} as avg_amount,
             {r2("count(*) filter (where status = 'FAILED') / count(*) * 100")}
                 as failure_rate_pct
         from silver group by sender_bank""",
     "merchants": f"""
-        select merchant_category, {_n()} as total_txns, {r2("sum(amount)")} as total_spend,
-            {r2("avg(amount)")} as avg_spend, {r2("max(amount)")} as max_spend,
+        select merchant_category, {_n()} as total_txns, {r2(_sum("amount"))} as total_spend,
+            {r2(f"{_sum('amount')} / count(amount)")} as avg_spend, {r2("max(amount)")} as max_spend,
             {_n("status = 'SUCCESS'")} as successful_txns,
             {r2("count(*) filter (where status = 'SUCCESS') / count(*) * 100")} as success_rate
         from silver where txn_type = 'P2M' group by merchant_category""",
     "anomalies": f"""
         select txn_date, sender_bank, {_n()} as anomaly_count,
-            {r2("sum(amount)")} as total_anomaly_amount,
-            {r2("avg(amount)")} as avg_anomaly_amount, {r2("max(amount)")} as max_anomaly_amount
+            {r2(_sum("amount"))} as total_anomaly_amount,
+            {r2(f"{_sum('amount')} / count(amount)")} as avg_anomaly_amount, {r2("max(amount)")} as max_anomaly_amount
         from silver where is_anomaly group by txn_date, sender_bank""",
     "flagged": """
         select *, amount >= 150000 as is_spike,
@@ -171,8 +176,9 @@ def _score(detector: str) -> str:
 _KPIS = f"""
     select h.*, a.total_anomalies from
         (select cast(sum(total_txns) as bigint) as total_txns,
-            sum(total_amount) as total_volume, avg(avg_amount) as avg_transaction,
-            sum(total_amount) / sum(total_txns) as weighted_avg_amount from hourly) h,
+            {_sum('total_amount')} as total_volume,
+            {_sum('avg_amount')} / count(*) as avg_transaction,
+            {_sum('total_amount')} / sum(total_txns) as weighted_avg_amount from hourly) h,
         (select cast(coalesce(sum(anomaly_count), 0) as bigint) as total_anomalies
             from anomalies) a"""
 
@@ -356,7 +362,7 @@ SQL = {
             {_n()} as total_txns, {_n("status = 'SUCCESS'")} as successful_txns,
             {_n("status = 'FAILED'")} as failed_txns,
             {_n("status = 'PENDING'")} as pending_txns,
-            {r2("sum(amount)")} as total_amount, {r2("avg(amount)")} as avg_amount,
+            {r2(_sum("amount"))} as total_amount, {r2(f"{_sum('amount')} / count(amount)")} as avg_amount,
             {r2("max(amount)")} as max_amount,
             {r2("count(*) filter (where status = 'SUCCESS') / count(*) * 100")} as success_rate,
             {r2("count(*) filter (where status = 'FAILED') / count(*) * 100")} as failure_rate

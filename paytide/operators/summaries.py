@@ -2,9 +2,10 @@
 
 Every summary is the same three moves: measure rows per key, merge measures if they were
 taken at a finer grain, and present them under the table's column names. All measures
-are mergeable (counts, sums, maxima), which buys two things at scale: Spark combines
+are mergeable (counts, exact sums, maxima), which buys two things at scale: Spark combines
 them on the map side, so a dominant bank or hour costs one partial row per task, and a
-single rollup of Silver can feed all four tables instead of four scans.
+single rollup of Silver can feed all four tables instead of four scans. Money is added in
+fixed point, so the digits do not depend on how rows were split or merged.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paytide import schema as s
+from paytide.functions.exact import exact_sum, exact_total, misfit_sum
 from paytide.functions.scalars import money, rate_pct
 
 # Finest grain any of the four tables needs.
@@ -46,7 +48,8 @@ def measures(
     return [
         F.count(id_col).alias("n"),
         *[F.count_if(F.col(status_col) == code).alias(name) for name, code in having.items()],
-        F.sum(value).cast("double").alias("amount_sum"),
+        exact_sum(value).alias("amount_sum"),
+        misfit_sum(value).alias("amount_misfit"),
         F.count(value).alias("amount_n"),
         F.max(value).cast("double").alias("amount_max"),
     ]
@@ -57,7 +60,9 @@ def merged_measures() -> list[Column]:
     counts = ["n", "n_success", "n_failed", "n_pending", "amount_n"]
     return [
         *[F.sum(c).alias(c) for c in counts],
-        F.sum("amount_sum").alias("amount_sum"),
+        # Merged sums keep their type, so that they can be merged again.
+        F.sum("amount_sum").cast("decimal(38,10)").alias("amount_sum"),
+        F.sum("amount_misfit").alias("amount_misfit"),
         F.max("amount_max").alias("amount_max"),
     ]
 
@@ -78,9 +83,13 @@ class Summary:
     keep: Callable[[], Column] | None = None
 
     def present(self, measured: DataFrame, with_processed_at: bool) -> DataFrame:
+        amount = exact_total(F.col("amount_sum"), F.col("amount_misfit"))
+
         def shown(measure: str) -> Column:
+            if measure == "amount_sum":
+                return money(amount)
             if measure == _AVERAGE:
-                return money(F.try_divide(F.col("amount_sum"), F.col("amount_n")))
+                return money(F.try_divide(amount, F.col("amount_n")))
             return money(F.col(measure)) if measure.startswith("amount") else F.col(measure)
 
         out = [F.col(k) for k in self.keys]

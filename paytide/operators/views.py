@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paytide.functions.exact import mean, total
 from paytide.functions.scalars import grouped_number
 
 CURRENCY_SIGN = "₹"
@@ -37,16 +38,17 @@ def kpis(hourly: DataFrame, anomalies: DataFrame) -> DataFrame:
     """Headline numbers as one row.
 
     `avg_transaction` is the plain mean of the hourly averages, so a quiet hour weighs as
-    much as a busy one; `weighted_avg_amount` is the mean per transaction.
+    much as a busy one; `weighted_avg_amount` is the mean per transaction. Neither depends
+    on the order of the tables' rows.
     """
     facts = hourly.select("total_txns", "total_amount", "avg_amount").unionByName(
         anomalies.select("anomaly_count"), allowMissingColumns=True
     )
-    txns, volume = F.sum("total_txns"), F.sum("total_amount")
+    txns, volume = F.sum("total_txns"), total(F.col("total_amount"))
     return facts.agg(
         F.coalesce(txns, F.lit(0)).alias("total_txns"),
         F.coalesce(volume, F.lit(0.0)).alias("total_volume"),
-        F.avg("avg_amount").alias("avg_transaction"),
+        mean(F.col("avg_amount")).alias("avg_transaction"),
         F.try_divide(volume, txns).alias("weighted_avg_amount"),
         F.coalesce(F.sum("anomaly_count"), F.lit(0)).alias("total_anomalies"),
     )
