@@ -255,6 +255,8 @@ SQL = {
     "gold_roundtrip_banks": over_stages("select * from banks"),
     "gold_roundtrip_merchants": over_stages("select * from merchants"),
     "gold_roundtrip_anomalies": over_stages("select * from anomalies"),
+    "gold_range_rerun": over_stages("select * from hourly"),
+    "gold_range_rerun_banks": over_stages("select * from banks"),
     "gold_scan": over_stages(
         """select 'HOURLY_TXN_SUMMARY' as table_name, cast(sum(total_txns) as bigint) as txns,
             count(*) as groups from hourly

@@ -273,6 +273,32 @@ def gold_roundtrip_anomalies(spark, sf_dir):
     return _stored_gold(spark, sf_dir, "anomaly_summary")
 
 
+def _gold_in_ranges(spark: SparkSession, sf_dir: str) -> str:
+    """Gold of all days, first from a Silver that lacks some; then three ranges are rerun."""
+    bronze_path, silver_path, root = (scratch_path(spark, x) for x in ("bronze", "silver", "gold"))
+    raw = bronze(spark, sf_dir)
+    lake.append_bronze(raw.filter("amount > 5000 OR txn_date > '2024-01-20'"), bronze_path)
+    run_silver(spark, bronze_path, silver_path)
+    run_gold(spark, silver_path, root)
+    run_silver(spark, _bronze_folder(spark, sf_dir), silver_path)
+    run_gold(spark, silver_path, root, until="2024-01-09")
+    run_gold(spark, silver_path, root, days=["2024-01-10", "2024-01-11"])
+    run_gold(spark, silver_path, root, since="2024-01-12")
+    return root
+
+
+@query
+def gold_range_rerun(spark, sf_dir):
+    root = _gold_in_ranges(spark, sf_dir)
+    return _without_stamp(lake.read_gold_table(spark, root, "hourly_txn_summary"))
+
+
+@query
+def gold_range_rerun_banks(spark, sf_dir):
+    root = _gold_in_ranges(spark, sf_dir)
+    return _without_stamp(lake.read_gold_table(spark, root, "bank_failure_analysis"))
+
+
 @query
 def gold_scan(spark, sf_dir):
     """Rows and transactions of each of the four tables read back by name."""

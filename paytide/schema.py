@@ -101,6 +101,24 @@ GOLD = {
     ),
 }
 
+# Mergeable measures of Silver per day and whatever else a Gold table groups by.
+ROLLUP = _struct(
+    txn_date="date",
+    txn_hour="integer",
+    sender_bank="string",
+    txn_type="string",
+    merchant_category="string",
+    is_anomaly="boolean",
+    n="long",
+    n_success="long",
+    n_failed="long",
+    n_pending="long",
+    amount_sum="decimal(38,10)",
+    amount_misfit="double",
+    amount_n="long",
+    amount_max="double",
+)
+
 # Accepted codes, text formats, limits and fill-ins.
 STATUSES = ("SUCCESS", "FAILED", "PENDING")
 TXN_TYPES = ("P2P", "P2M")

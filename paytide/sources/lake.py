@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paytide import schema as s
 from paytide.functions.casting import conform
+from paytide.sources.files import remove, subfolders
 
 PARTITION = "txn_date"
+# What a folder is called that holds the rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -30,6 +34,28 @@ def _between(df: DataFrame, since: date | str | None, until: date | str | None)
     return df
 
 
+def on_days(df: DataFrame, days: Collection[date | str | None]) -> DataFrame:
+    """Rows of the given days, None standing for rows without one; only those folders are
+    listed."""
+    kind = df.schema[PARTITION].dataType
+    named = [F.lit(str(d)).cast(kind) for d in days if d is not None]
+    wanted: Column = F.col(PARTITION).isin(*named) if named else F.lit(False)
+    return df.filter(wanted | F.col(PARTITION).isNull() if None in days else wanted)
+
+
+def stored_days(spark: SparkSession, path: str) -> dict[str | None, str]:
+    """Folders of a table's days, by day; None for rows without one."""
+    found = subfolders(spark, path, PARTITION)
+    return {None if day == NO_DAY else day: folder for day, folder in found.items()}
+
+
+def drop_days(spark: SparkSession, path: str, days: Collection[date | str | None]) -> None:
+    """Remove the folders of whole days; days without one do no harm."""
+    folders = stored_days(spark, path)
+    wanted = {None if d is None else str(d) for d in days}
+    remove(spark, [folder for day, folder in folders.items() if day in wanted])
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,
@@ -100,6 +126,20 @@ def write_silver(
     )
 
 
+def rollup_path(root: str) -> str:
+    return f"{root.rstrip('/')}/txn_rollup"
+
+
+def write_rollup(df: DataFrame, root: str, *, incremental: bool = False) -> None:
+    """Store the rollup the Gold tables derive from, by day. `incremental` replaces only the
+    days present in `df`."""
+    write_silver(df.select(*s.ROLLUP.names), rollup_path(root), incremental=incremental)
+
+
+def read_rollup(spark: SparkSession, root: str) -> DataFrame:
+    return _read(spark, rollup_path(root), s.ROLLUP)
+
+
 def gold_path(root: str, table_name: str) -> str:
     return f"{root.rstrip('/')}/{table_name}"
 

@@ -81,8 +81,54 @@ def test_incremental_days(spark, bronze_rows, paths):
     assert report["bronze_rows"] == 2
     kept = sorted(r.txn_id for r in lake.read_silver(spark, paths.silver).collect())
     assert kept == ["10", "11", "12", "13", "new"]
-    only = run_gold(spark, paths.silver, paths.gold, since="2026-03-12")
-    assert only["hourly_txn_summary"] == 2
+    # No stored rollup yet: all days are read, whatever the range.
+    first = run_gold(spark, paths.silver, paths.gold, since="2026-03-12")
+    assert first["hourly_txn_summary"] == 4
+
+
+def days_and_counts(spark, paths):
+    hours = lake.read_gold_table(spark, paths.gold, "hourly_txn_summary").collect()
+    return {str(r.txn_date): r.total_txns for r in hours}
+
+
+def test_a_range_of_gold_leaves_other_days(spark, bronze_rows, paths):
+    rows = [{"txn_id": str(d), "txn_date": f"2026-03-{d}"} for d in range(10, 14)]
+    lake.append_bronze(bronze_rows(*rows, {"txn_id": "x", "txn_date": None}), paths.bronze)
+    run_silver(spark, paths.bronze, paths.silver)
+    run_gold(spark, paths.silver, paths.gold)
+    more = [{"txn_id": f"new{d}", "txn_date": f"2026-03-{d}"} for d in (11, 12, 12, 13)]
+    lake.append_bronze(bronze_rows(*more), paths.bronze)
+    run_silver(spark, paths.bronze, paths.silver)
+    run_gold(spark, paths.silver, paths.gold, since="2026-03-12", until="2026-03-12")
+    assert days_and_counts(spark, paths) == {
+        "2026-03-10": 1, "2026-03-11": 1, "2026-03-12": 2, "2026-03-13": 1, "None": 1,
+    }
+    run_gold(spark, paths.silver, paths.gold, days=["2026-03-11"])
+    assert days_and_counts(spark, paths)["2026-03-11"] == 2
+    banks = lake.read_gold_table(spark, paths.gold, "bank_failure_analysis").first()
+    assert (banks.total_txns, banks.total_amount) == (7, 7 * 1500.0)
+
+
+def test_days_gone_from_silver_leave_gold(spark, bronze_rows, paths):
+    rows = [{"txn_id": str(d), "txn_date": f"2026-03-{d}"} for d in range(10, 14)]
+    lake.append_bronze(bronze_rows(*rows, {"txn_id": "x", "txn_date": None}), paths.bronze)
+    run_silver(spark, paths.bronze, paths.silver)
+    run_gold(spark, paths.silver, paths.gold)
+    lake.drop_days(spark, paths.silver, ["2026-03-11", None, "2026-03-13", "2030-01-01"])
+    run_gold(spark, paths.silver, paths.gold, until="2026-03-12")  # the 13th was not asked for
+    assert days_and_counts(spark, paths).keys() == {"2026-03-10", "2026-03-12", "2026-03-13", "None"}
+    run_gold(spark, paths.silver, paths.gold, days=[None])
+    assert days_and_counts(spark, paths).keys() == {"2026-03-10", "2026-03-12", "2026-03-13"}
+
+
+def test_a_range_of_gold_reads_no_other_day(spark, bronze_rows, paths, tmp_path):
+    rows = [{"txn_id": str(d), "txn_date": f"2026-03-{d}"} for d in range(10, 13)]
+    lake.append_bronze(bronze_rows(*rows), paths.bronze)
+    run_pipeline(spark, paths)
+    for file in (tmp_path / "silver" / "txn_date=2026-03-10").glob("*.parquet"):
+        file.write_bytes(b"unreadable")
+        (file.parent / f".{file.name}.crc").unlink()
+    assert run_gold(spark, paths.silver, paths.gold, since="2026-03-11")["hourly_txn_summary"] == 3
 
 
 def test_part_of_a_day_never_replaces_the_day(spark, paths):
