@@ -18,6 +18,7 @@ import hashlib
 import os
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from paytide.operators.lookup import attach
 
 SLICE_BYTES = 1 << 20
 #: Pieces a worker remembers at most; beyond that its table starts afresh.
-KNOWN_PIECES = 300_000
+KNOWN_PIECES = 1_000_000
 #: Pairs of a lookup that is sent to all tasks: 16 bytes each. More of them are joined.
 BROADCAST_PAIRS = 1_000_000
 
@@ -47,8 +48,55 @@ def byte_level_table() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Pieces:
+    """Ids of both vocabularies for the pieces a worker has met, found by the piece's hash."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.good = np.zeros(0, bool)
+        self.count = [np.zeros(0, np.int64)] * 2
+        self.begin = [np.zeros(0, np.int64)] * 2
+        self.pool = [np.zeros(0, np.int64)] * 2
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where hashes stand, and which of them are not there."""
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self.hashes)] = 0
+        new = self.hashes[at] != hashes if len(self.hashes) else np.ones(len(hashes), bool)
+        return at, new
+
+    def add(self, hashes: np.ndarray, good: np.ndarray, counts: list, ids: list) -> None:
+        order = np.argsort(hashes)
+        put = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, put, hashes[order])
+        self.good = np.insert(self.good, put, good[order])
+        for v in (0, 1):
+            begin = len(self.pool[v]) + np.cumsum(counts[v]) - counts[v]
+            self.pool[v] = np.concatenate([self.pool[v], ids[v]])
+            self.count[v] = np.insert(self.count[v], put, counts[v][order])
+            self.begin[v] = np.insert(self.begin[v], put, begin[order])
+
+
+def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All positions of the ranges that begin at `begins`, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - ends + sizes, sizes)
+
+
+class Tokens:
+    """The bytes of every id of a vocabulary, in one buffer."""
+
+    def __init__(self, entries: list[bytes]):
+        self.size = np.array([len(x) for x in entries], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(entries), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        return self.data[_spread(self.begin[ids], self.size[ids])]
+
+
 class Pair:
-    """Both vocabularies in one worker, and the pieces it has aligned."""
+    """Both vocabularies in one worker, and the pieces it has encoded."""
 
     def __init__(self, vocabulary_a: str, vocabulary_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,18 +109,21 @@ class Pair:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(vocabulary_b))
         letters = byte_level_table()
-        self.bytes_a: dict[int, bytes] = {}
-        for entry, i in self.a.get_vocab(with_added_tokens=False).items():
-            self.bytes_a[i] = bytes(letters[c] for c in entry if c in letters)
-        self.bytes_b = []
+        entries = self.a.get_vocab(with_added_tokens=False)
+        own_a = [b""] * (max(self.a.get_vocab().values()) + 1)
+        for entry, i in entries.items():
+            own_a[i] = bytes(letters[c] for c in entry if c in letters)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        for i, piece in enumerate(pieces):
-            self.bytes_b.append(
-                bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-            )
+        own_b = [
+            bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+            for i, p in enumerate(pieces)
+        ]
+        self.tokens = [Tokens(own_a), Tokens(own_b)]
+        #: Ids as decimal text.
+        self.digits = Tokens([str(i).encode() for i in range(max(len(own_a), len(own_b)))])
         #: A blank only begins pieces of B, so B never joins what stands on both sides of one.
         self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.known: dict[int, tuple] = {}
+        self.known = Pieces()
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where pieces begin: at rows, and at single blanks before a printable character
@@ -83,59 +134,121 @@ class Pair:
         begins[offsets] = True
         return np.flatnonzero(begins)
 
-    def align(self, texts: list[str]) -> list[tuple]:
-        """For texts that begin with the blank B adds: (tokens of A, of B, groups, pairs
-        linked, their text form), or None where the bytes differ."""
-        many = self.a.encode_batch_fast(texts, add_special_tokens=False)
-        lists = self.b.encode([t[1:] for t in texts], num_threads=1)
-        return [self._aligned(t.encode(), a.ids, b) for t, a, b in zip(texts, many, lists, strict=True)]
-
-    def _aligned(self, raw: bytes, a: list[int], b: list[int]):
-        own_a, own_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(own_a) != raw or b"".join(own_b) != raw:
-            return None
-        # No token is empty, so ends rise and a link is the one pair that ends at a cut.
-        ends_a = np.cumsum([len(x) for x in own_a])
-        ends_b = np.cumsum([len(x) for x in own_b])
-        _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        groups, i, j = [], 0, 0
-        for x, y in zip((at_a + 1).tolist(), (at_b + 1).tolist(), strict=True):
-            groups.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
-            i, j = x, y
-        pairs = (np.array(a, np.int64)[at_a] << 32) | np.array(b, np.int64)[at_b]
-        return len(a), len(b), len(groups), pairs, ";".join(groups)
+    def _learn(self, hashes: np.ndarray, raw: list[bytes]) -> None:
+        """Encode pieces, each of which begins with the blank that B adds by itself."""
+        texts = [x.decode("utf-8") for x in raw]
+        lists = [
+            [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)],
+            self.b.encode([t[1:] for t in texts], num_threads=1),
+        ]
+        sizes = np.array([len(x) for x in raw], np.int64)
+        ends = np.cumsum(sizes)
+        whole = np.frombuffer(b"".join(raw), np.uint8)
+        good = np.ones(len(raw), bool)
+        counts, ids = [], []
+        for own, tokens in zip(lists, self.tokens, strict=True):
+            n = np.array([len(x) for x in own], np.int64)
+            flat = np.fromiter((i for x in own for i in x), np.int64, int(n.sum()))
+            piece = np.repeat(np.arange(len(raw)), n)
+            same = np.bincount(piece, tokens.size[flat], len(raw)).astype(np.int64) == sizes
+            # Bytes are compared where the lengths agree.
+            kept = same[piece]
+            wrong = tokens.joined(flat[kept]) != whole[_spread((ends - sizes)[same], sizes[same])]
+            at = np.flatnonzero(same)[np.searchsorted(np.cumsum(sizes[same]), np.flatnonzero(wrong), side="right")]
+            same[at] = False
+            good &= same
+            counts.append(n)
+            ids.append(flat)
+        self.known.add(hashes, good, counts, ids)
 
     def batch(self, column: pa.Array):
-        """The alignment of every text, None for a text without tokens."""
+        """Slices of `column`, aligned: see `_slice`."""
         data, offsets = utf8(column)
         for lo, hi in row_slices(offsets, SLICE_BYTES):
-            yield from self._slice(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            yield self._slice(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
 
-    def _slice(self, part: np.ndarray, at: np.ndarray):
+    def _slice(self, part: np.ndarray, at: np.ndarray) -> tuple:
+        """Per text: tokens of A and of B, groups, SHA-256 of the groups; and of all links the
+        text they are in and their pair of ids."""
         # A blank before each text, as A is asked for and B adds by itself.
-        sizes = np.diff(at)
-        data = np.insert(part, at[:-1], np.uint8(_BLANK)) if len(sizes) else part
+        n, sizes = len(at) - 1, np.diff(at)
+        data = np.insert(part, at[:-1], np.uint8(_BLANK))
         offsets = np.concatenate([[0], np.cumsum(sizes + 1)])
         cuts = self.cuts(data, offsets)
-        hashes = chunk_hashes(data, cuts[:-1], cuts[1:])
-        if len(self.known) > KNOWN_PIECES:
-            self.known = {}
-        raw = data.tobytes()
-        keys = hashes.tolist()
-        new: dict[int, str] = {}
-        for key, s, e in zip(keys, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            if key not in self.known and key not in new:
-                new[key] = raw[s:e].decode("utf-8")
-        if new:
-            self.known.update(zip(new, self.align(list(new.values())), strict=True))
-        rows = np.searchsorted(cuts, offsets)
-        for size, p, q in zip(sizes.tolist(), rows[:-1].tolist(), rows[1:].tolist(), strict=True):
-            found = [self.known[k] for k in keys[p:q]] if size else [None]
-            if any(f is None for f in found):
-                yield None
-                continue
-            n_a, n_b, n_groups, pairs, text = zip(*found, strict=True)
-            yield sum(n_a), sum(n_b), sum(n_groups), np.concatenate(pairs), ";".join(text)
+        starts, ends = cuts[:-1], cuts[1:]
+        which, distinct = pd.factorize(chunk_hashes(data, starts, ends))
+        if len(self.known.hashes) > KNOWN_PIECES:
+            self.known = Pieces()
+        place, new = self.known.places(distinct)
+        if new.any():
+            first = np.empty(len(distinct), np.int64)
+            first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+            whole = data.tobytes()
+            raw = [whole[s:e] for s, e in zip(starts[first[new]], ends[first[new]], strict=True)]
+            self._learn(distinct[new], raw)
+            place, _ = self.known.places(distinct)
+        place = place[which]
+        text = np.searchsorted(offsets, starts, side="right") - 1
+        good = sizes > 0
+        good[text[~self.known.good[place]]] = False
+        kept = good[text]
+        place, starts, text = place[kept], starts[kept], text[kept]
+        ids, ending, owner = [], [], []
+        for v, tokens in enumerate(self.tokens):
+            counts = self.known.count[v][place]
+            own = self.known.pool[v][_spread(self.known.begin[v][place], counts)]
+            length = tokens.size[own]
+            piece = np.repeat(np.arange(len(place)), counts)
+            before = np.concatenate([[0], np.cumsum(length)])
+            at_piece = before[np.cumsum(counts) - counts]
+            ids.append(own)
+            ending.append(before[1:] - at_piece[piece] + starts[piece])
+            owner.append(text[piece])
+        # No token is empty, so ends rise and a link is the one pair that ends at a cut.
+        to = np.searchsorted(ending[1], ending[0])
+        linked = np.flatnonzero(ending[1][to] == ending[0]) if len(to) else to
+        cut = [linked, to[linked]]
+        pairs = (ids[0][cut[0]] << 32) | ids[1][cut[1]]
+        link_text = owner[0][cut[0]]
+        shas = self._digests(ids, cut, link_text, n)
+        return (
+            np.bincount(owner[0], minlength=n),
+            np.bincount(owner[1], minlength=n),
+            np.bincount(link_text, minlength=n),
+            shas,
+            link_text,
+            pairs,
+        )
+
+    def _digests(self, ids: list, cut: list, link_text: np.ndarray, n: int) -> list[str]:
+        """SHA-256 of `a1,a2|b1;a3|b2,b3` of every text; empty where it has no tokens."""
+        groups = len(link_text)
+        shas = [""] * n
+        if not groups:
+            return shas
+        taken = [np.diff(c, prepend=-1) for c in cut]  # tokens of each group
+        # Both sides in one row: a group's tokens of A, then its tokens of B.
+        ends = np.cumsum(taken[0] + taken[1])
+        order = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+        sign = np.full(len(order), ord(","), np.uint8)
+        order[_spread(ends - taken[1] - taken[0], taken[0])] = ids[0]
+        order[_spread(ends - taken[1], taken[1])] = ids[1]
+        sign[ends - taken[1] - 1] = ord("|")
+        sign[ends - 1] = ord(";")
+        size = self.digits.size[order] + 1
+        stop = np.cumsum(size)
+        out = np.empty(int(stop[-1]), np.uint8)
+        out[stop - 1] = sign
+        plain = np.ones(len(out), bool)
+        plain[stop - 1] = False
+        out[plain] = self.digits.joined(order)
+        last = np.flatnonzero(np.append(link_text[1:] != link_text[:-1], True))
+        begin = 0
+        for g in last.tolist():
+            end = int(stop[ends[g] - 1])
+            shas[link_text[g]] = hashlib.sha256(out[begin : end - 1]).hexdigest()
+            begin = end
+        return shas
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
@@ -148,6 +261,10 @@ def pair_of(vocabulary_a: str, vocabulary_b: str) -> Pair:
     return _pairs[key]
 
 
+def _flat(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
 def aligned_texts(texts: DataFrame, vocabulary_a: str, vocabulary_b: str) -> DataFrame:
     """`(print, copies, n_a, n_b, n_groups, groups_sha256, pairs, counts)` for `(text, copies)`:
     the distinct linked pairs of ids as one long each, A's id above, and how often each is."""
@@ -155,23 +272,27 @@ def aligned_texts(texts: DataFrame, vocabulary_a: str, vocabulary_b: str) -> Dat
     def run(batches):
         both = pair_of(vocabulary_a, vocabulary_b)
         for batch in batches:
-            rows = []
-            for found in both.batch(batch["text"]):
-                if found is None:
-                    rows.append((0, 0, 0, "", [], []))
-                    continue
-                n_a, n_b, n_groups, pairs, text = found
-                distinct, counts = np.unique(pairs, return_counts=True)
-                rows.append((n_a, n_b, n_groups, hashlib.sha256(text.encode()).hexdigest(), distinct, counts))
-            n_a, n_b, n_groups, shas, pairs, counts = zip(*rows, strict=True) if rows else ([],) * 6
+            sizes, shas, pairs, counts, held = [[], [], []], [], [], [], []
+            for *tokens, digests, text, links in both.batch(batch["text"]):
+                for column, found in zip(sizes, tokens, strict=True):
+                    column.append(found)
+                shas += digests
+                order = np.lexsort((links, text))
+                text, links = text[order], links[order]
+                new = np.ones(len(links), bool)
+                new[1:] = (links[1:] != links[:-1]) | (text[1:] != text[:-1])
+                at = np.flatnonzero(new)
+                pairs.append(links[at])
+                counts.append(np.diff(np.append(at, len(links))))
+                held.append(np.bincount(text[at], minlength=len(digests)))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(_flat(held))]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["print"],
                     batch["copies"],
-                    *[pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)],
+                    *[pa.array(_flat(x), pa.int64()) for x in sizes],
                     pa.array(shas, pa.string()),
-                    pa.array(pairs, pa.list_(pa.int64())),
-                    pa.array(counts, pa.list_(pa.int64())),
+                    *[pa.ListArray.from_arrays(offsets, pa.array(_flat(x), pa.int64())) for x in (pairs, counts)],
                 ],
                 names=["print", "copies", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "counts"],
             )
