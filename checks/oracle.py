@@ -273,6 +273,10 @@ SQL = {
         from silver"""
     ),
     "pipeline_chain": over_stages("select * from banks"),
+    "pipeline_incremental": over_stages("select * from hourly"),
+    "pipeline_incremental_banks": over_stages("select * from banks"),
+    "pipeline_incremental_merchants": over_stages("select * from merchants"),
+    "pipeline_incremental_anomalies": over_stages("select * from anomalies"),
     # Export.
     "export_hourly": over_stages(_export("hourly", GOLD_COLUMNS["hourly"])),
     "export_banks": over_stages(_export("banks", GOLD_COLUMNS["banks"])),

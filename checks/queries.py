@@ -14,6 +14,7 @@ from paytide.operators.enrichment import enrich as add_derived
 from paytide.operators.summaries import SUMMARIES, Summary
 from paytide.plans.export import run_export
 from paytide.plans.gold import run_gold
+from paytide.plans.incremental import run_incremental
 from paytide.plans.pipeline import Paths, run_pipeline
 from paytide.plans.silver import cleaned, run_silver, silver
 from paytide.sources import lake, warehouse
@@ -334,6 +335,43 @@ def pipeline_chain(spark, sf_dir):
     return _without_stamp(lake.read_gold_table(spark, paths.gold, "bank_failure_analysis"))
 
 
+def _incremental_gold(spark: SparkSession, sf_dir: str) -> str:
+    """Gold after three batches and three incremental runs; a fifth of a batch's rows, first
+    and later copies alike, arrives with the next one."""
+    layers = ("bronze", "silver", "gold", "index")
+    paths = Paths(*[scratch_path(spark, layer) for layer in layers])
+    late = F.expr("pmod(xxhash64(txn_id, txn_timestamp), 5) = 0 AND txn_date < '2024-01-21'")
+    due = F.expr("CASE WHEN txn_date < '2024-01-11' THEN 0 WHEN txn_date < '2024-01-21' THEN 1 ELSE 2 END")
+    rows = bronze(spark, sf_dir).withColumn("due", due + late.cast("int"))
+    for batch in range(3):
+        run_incremental(spark, paths, rows.filter(F.col("due") == batch).drop("due"))
+    return paths.gold
+
+
+def _incremental(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _without_stamp(lake.read_gold_table(spark, _incremental_gold(spark, sf_dir), name))
+
+
+@query
+def pipeline_incremental(spark, sf_dir):
+    return _incremental(spark, sf_dir, "hourly_txn_summary")
+
+
+@query
+def pipeline_incremental_banks(spark, sf_dir):
+    return _incremental(spark, sf_dir, "bank_failure_analysis")
+
+
+@query
+def pipeline_incremental_merchants(spark, sf_dir):
+    return _incremental(spark, sf_dir, "merchant_spend_analysis")
+
+
+@query
+def pipeline_incremental_anomalies(spark, sf_dir):
+    return _incremental(spark, sf_dir, "anomaly_summary")
+
+
 # --- Export ---------------------------------------------------------------------------
 
 

@@ -1,4 +1,7 @@
-"""The daily chain: Bronze append, Silver, Gold. The export is a separate job."""
+"""The daily chain: Bronze append, Silver, Gold. The export is a separate job.
+
+`run_pipeline` rebuilds all of it; `plans.incremental.run_incremental` takes in new days.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +20,8 @@ class Paths:
     bronze: str
     silver: str
     gold: str
+    #: Of incremental runs: which copy of an id counts.
+    index: str | None = None
 
 
 def run_pipeline(
