@@ -184,6 +184,16 @@ _KPIS = f"""
 
 _SILVER = f"select {', '.join(_SILVER_NAMES)} from silver"
 
+_BY_EVENT_HOUR = f"""select cast(w as date) as txn_date, cast(hour(w) as integer) as txn_hour,
+            {_n()} as total_txns, {_n("status = 'SUCCESS'")} as successful_txns,
+            {_n("status = 'FAILED'")} as failed_txns,
+            {_n("status = 'PENDING'")} as pending_txns,
+            {r2(_sum("amount"))} as total_amount, {r2(f"{_sum('amount')} / count(amount)")} as avg_amount,
+            {r2("max(amount)")} as max_amount,
+            {r2("count(*) filter (where status = 'SUCCESS') / count(*) * 100")} as success_rate,
+            {r2("count(*) filter (where status = 'FAILED') / count(*) * 100")} as failure_rate
+        from (select *, date_trunc('hour', txn_timestamp) as w from silver) as s"""
+
 SQL = {
     # Silver, step by step.
     "bronze_scan": over_stages("select * from bronze"),
@@ -357,23 +367,18 @@ SQL = {
         from (select *, count(*) over (partition by o_custkey order by epoch(o_orderdate)
             range between 2592000 preceding and current row) as w from orders) as o
         group by o_custkey, o_orderdate""",
-    # Streaming: every row of the clean stream, and the hours closed by the watermark.
+    # Streaming: every row of the clean stream, all hours, and those closed by the watermark.
     "stream_ingest": over_stages(_SILVER),
     "stream_small_steps": over_stages(
         "select * exclude (txn_date, day_of_week, week_of_year)"
         f" from (select {', '.join(_SILVER_NAMES)} from silver) as s"
     ),
-    "stream_hourly": over_stages(
-        f"""select cast(w as date) as txn_date, cast(hour(w) as integer) as txn_hour,
-            {_n()} as total_txns, {_n("status = 'SUCCESS'")} as successful_txns,
-            {_n("status = 'FAILED'")} as failed_txns,
-            {_n("status = 'PENDING'")} as pending_txns,
-            {r2(_sum("amount"))} as total_amount, {r2(f"{_sum('amount')} / count(amount)")} as avg_amount,
-            {r2("max(amount)")} as max_amount,
-            {r2("count(*) filter (where status = 'SUCCESS') / count(*) * 100")} as success_rate,
-            {r2("count(*) filter (where status = 'FAILED') / count(*) * 100")} as failure_rate
-        from (select *, date_trunc('hour', txn_timestamp) as w from silver) as s
-        where w + interval '1' hour <=
+    "stream_settle_twice": over_stages(_SILVER),
+    "stream_settled_and_live": over_stages(_SILVER),
+    "stream_hourly": over_stages(_BY_EVENT_HOUR + " group by w"),
+    "stream_hourly_closed": over_stages(
+        _BY_EVENT_HOUR
+        + """ where w + interval '1' hour <=
             (select max(txn_timestamp) - interval '2' hour from complete)
         group by w"""
     ),

@@ -19,8 +19,8 @@ from paytide.plans.pipeline import Paths, run_pipeline
 from paytide.plans.silver import cleaned, run_silver, silver
 from paytide.sources import lake, warehouse
 from paytide.sources.staging import scratch_path, staged
-from paytide.streaming.hourly import present_hours, start_hourly
-from paytide.streaming.ingest import read_live, start_ingest
+from paytide.streaming.hourly import present_hours, read_hours, start_hourly, start_live_hours
+from paytide.streaming.ingest import read_live, settle, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -599,8 +599,49 @@ def stream_small_steps(spark, sf_dir):
     )
 
 
+def _log_in_steps(spark: SparkSession, sf_dir: str, settle_after: tuple[int, ...]) -> tuple[str, str]:
+    """Log and Silver after four batches through the ingest, settled after some of them."""
+    labels = ("steps", "live", "ingest", "silver")
+    folder, log, checkpoint, target = (scratch_path(spark, label) for label in labels)
+    rows = bronze(spark, sf_dir)
+    part = F.pmod(F.xxhash64("txn_id", "txn_timestamp"), F.lit(4))
+    for step in range(4):
+        lake.append_bronze(rows.filter(part == step), folder)
+        start_ingest(spark, folder, log, checkpoint).awaitTermination()
+        if step in settle_after:
+            settle(spark, log, target)
+    return log, target
+
+
+@query
+def stream_settle_twice(spark, sf_dir):
+    """Silver settled twice from the log, with late copies before and after."""
+    _, target = _log_in_steps(spark, sf_dir, settle_after=(1, 3))
+    return _without_stamp(lake.read_silver(spark, target))
+
+
+@query
+def stream_settled_and_live(spark, sf_dir):
+    """The settled part of a log and the batches that came after it."""
+    log, _ = _log_in_steps(spark, sf_dir, settle_after=(0, 2))
+    return read_live(spark, log, with_processed_at=False)
+
+
 @query
 def stream_hourly(spark, sf_dir):
+    """All hours after all of Bronze went through the stream in three parts, out of order."""
+    labels = ("steps", "hours", "index", "hourly")
+    folder, hours, index, checkpoint = (scratch_path(spark, label) for label in labels)
+    rows = bronze(spark, sf_dir)
+    part = F.pmod(F.xxhash64("txn_id", "txn_timestamp"), F.lit(3))
+    for step in (2, 0, 1):
+        lake.append_bronze(rows.filter(part == step), folder)
+        start_live_hours(spark, folder, hours, index, checkpoint).awaitTermination()
+    return present_hours(read_hours(spark, hours), with_processed_at=False)
+
+
+@query
+def stream_hourly_closed(spark, sf_dir):
     """Hours closed by the watermark after all of Bronze went through the stream."""
     target, checkpoint = (scratch_path(spark, label) for label in ("hours", "hourly"))
     start_hourly(spark, _bronze_folder(spark, sf_dir), target, checkpoint).awaitTermination()

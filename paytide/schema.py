@@ -101,7 +101,19 @@ GOLD = {
     ),
 }
 
-# Mergeable measures of Silver per day and whatever else a Gold table groups by.
+# Mergeable measures of a set of transactions.
+_MEASURES = {
+    "n": "long",
+    "n_success": "long",
+    "n_failed": "long",
+    "n_pending": "long",
+    "amount_sum": "decimal(38,10)",
+    "amount_misfit": "double",
+    "amount_n": "long",
+    "amount_max": "double",
+}
+
+# Silver per day and whatever else a Gold table groups by.
 ROLLUP = _struct(
     txn_date="date",
     txn_hour="integer",
@@ -109,16 +121,12 @@ ROLLUP = _struct(
     txn_type="string",
     merchant_category="string",
     is_anomaly="boolean",
-    n="long",
-    n_success="long",
-    n_failed="long",
-    n_pending="long",
-    amount_sum="decimal(38,10)",
-    amount_misfit="double",
-    amount_n="long",
-    amount_max="double",
+    **_MEASURES,
 )
 
+# Silver per hour of event time.
+HOURS = _struct(window_start="timestamp", **_MEASURES)
+
 # Accepted codes, text formats, limits and fill-ins.
 STATUSES = ("SUCCESS", "FAILED", "PENDING")
 TXN_TYPES = ("P2P", "P2M")

@@ -3,10 +3,14 @@
 The ingest keeps a log: every micro-batch adds the complete rows it brought, whatever their
 event time, and `read_live` settles which copy of an id counts. The result is the batch
 Silver, however the input is cut into micro-batches and in whatever order files arrive.
+`settle` moves the log's batches into an id index beside them, one copy per id, and rewrites
+the days of Silver they touch; so the log stays as short as the time between two settlings.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 from paytide import schema as s
 from paytide.operators.cleansing import deduplicate, enforce_schema, handle_nulls, validate
 from paytide.operators.enrichment import enrich
-from paytide.sources.lake import write_silver
+from paytide.plans.incremental import apply_change
+from paytide.sources.files import exists, remove, subfolders
+from paytide.sources.id_index import BUCKETS, IdIndex
+from paytide.sources.lake import drop_days, stored_days
 
 LATENESS = "2 hours"
 SPREAD = 16
@@ -103,25 +110,67 @@ def start_ingest(
     )
 
 
+def settled_path(log_path: str) -> str:
+    """Where the settled part of a log is; readers of the log's batches do not see it."""
+    return f"{log_path.rstrip('/')}/_settled"
+
+
 def read_live(
     spark: SparkSession, log_path: str, *, with_processed_at: bool = True
 ) -> DataFrame:
-    """Silver as of now: the earliest copy of every id in the log, checked and enriched.
+    """Silver as of now: the earliest copy of every id in the log and its settled part,
+    checked and enriched.
 
     One shuffle, like the batch operator. An id whose earliest copy breaks a rule is absent,
     also when a later copy arrived first.
     """
     names = s.TYPED.names
+    settled = IdIndex(spark, settled_path(log_path)).copies().select(*names)
     return (
         spark.read.schema(s.TYPED)
         .parquet(log_path)
         .select(*names)
+        .unionByName(settled)
         .transform(deduplicate)
         .transform(validate)
         .transform(enrich, with_processed_at=with_processed_at)
     )
 
 
-def settle(spark: SparkSession, log_path: str, silver_path: str) -> None:
-    """Write the log's present state as a day-partitioned Silver table, replacing it."""
-    write_silver(read_live(spark, log_path), silver_path)
+def _finished_batches(spark: SparkSession, log_path: str) -> list[str]:
+    """Folders of the micro-batches that are written to the end."""
+    batches = [
+        folder
+        for query in subfolders(spark, log_path, "query_id").values()
+        for folder in subfolders(spark, query, "batch_id").values()
+    ]
+    return [folder for folder in batches if exists(spark, f"{folder}/_SUCCESS")]
+
+
+def settle(
+    spark: SparkSession, log_path: str, silver_path: str, *, buckets: int = BUCKETS
+) -> int:
+    """Bring the day-partitioned Silver table at `silver_path` up to the log's present state
+    and take the finished batches out of the log; returns the number of days rewritten.
+
+    Only the new batches are read, the index buckets that may hold one of their ids, and the
+    days of Silver whose rows change. The first settling replaces the whole table. Silver
+    comes before the index and the index before the batches' removal, so a settling that
+    failed is simply repeated. `buckets` counts in the first one. One settling at a time; the
+    stream may go on meanwhile.
+    """
+    index = IdIndex(spark, settled_path(log_path), buckets)
+    batches = _finished_batches(spark, log_path)
+    if not batches:
+        return 0
+    rows = spark.read.schema(s.TYPED).parquet(*batches)
+    run = uuid.uuid4().hex
+    first = not index.runs()
+    change = index.absorb(rows, run)
+    if first:
+        drop_days(spark, silver_path, stored_days(spark, silver_path))
+    days = apply_change(spark, silver_path, change)
+    index.commit(run, change.added)
+    remove(spark, batches)
+    index.compact()
+    return len(days)
