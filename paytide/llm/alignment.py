@@ -28,9 +28,9 @@ from paytide.llm.text import chunk_hashes, row_slices, utf8
 from paytide.llm.tokens import vocabulary_path
 from paytide.operators.lookup import attach
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Pieces a worker remembers at most; beyond that its table starts afresh.
-KNOWN_PIECES = 1_000_000
+KNOWN_PIECES = 600_000
 #: Pairs of a lookup that is sent to all tasks: 16 bytes each. More of them are joined.
 BROADCAST_PAIRS = 1_000_000
 
@@ -56,7 +56,7 @@ class Pieces:
         self.good = np.zeros(0, bool)
         self.count = [np.zeros(0, np.int64)] * 2
         self.begin = [np.zeros(0, np.int64)] * 2
-        self.pool = [np.zeros(0, np.int64)] * 2
+        self.pool = [np.zeros(0, np.int32)] * 2
 
     def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where hashes stand, and which of them are not there."""
@@ -148,7 +148,7 @@ class Pair:
         counts, ids = [], []
         for own, tokens in zip(lists, self.tokens, strict=True):
             n = np.array([len(x) for x in own], np.int64)
-            flat = np.fromiter((i for x in own for i in x), np.int64, int(n.sum()))
+            flat = np.fromiter((i for x in own for i in x), np.int32, int(n.sum()))
             piece = np.repeat(np.arange(len(raw)), n)
             same = np.bincount(piece, tokens.size[flat], len(raw)).astype(np.int64) == sizes
             # Bytes are compared where the lengths agree.
@@ -208,7 +208,7 @@ class Pair:
         to = np.searchsorted(ending[1], ending[0])
         linked = np.flatnonzero(ending[1][to] == ending[0]) if len(to) else to
         cut = [linked, to[linked]]
-        pairs = (ids[0][cut[0]] << 32) | ids[1][cut[1]]
+        pairs = (ids[0][cut[0]].astype(np.int64) << 32) | ids[1][cut[1]]
         link_text = owner[0][cut[0]]
         shas = self._digests(ids, cut, link_text, n)
         return (
@@ -261,10 +261,6 @@ def pair_of(vocabulary_a: str, vocabulary_b: str) -> Pair:
     return _pairs[key]
 
 
-def _flat(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
-
-
 def aligned_texts(texts: DataFrame, vocabulary_a: str, vocabulary_b: str) -> DataFrame:
     """`(print, copies, n_a, n_b, n_groups, groups_sha256, pairs, counts)` for `(text, copies)`:
     the distinct linked pairs of ids as one long each, A's id above, and how often each is."""
@@ -272,30 +268,28 @@ def aligned_texts(texts: DataFrame, vocabulary_a: str, vocabulary_b: str) -> Dat
     def run(batches):
         both = pair_of(vocabulary_a, vocabulary_b)
         for batch in batches:
-            sizes, shas, pairs, counts, held = [[], [], []], [], [], [], []
-            for *tokens, digests, text, links in both.batch(batch["text"]):
-                for column, found in zip(sizes, tokens, strict=True):
-                    column.append(found)
-                shas += digests
+            first = 0
+            # A record batch per slice, so that only the links of one slice are held.
+            for *sizes, shas, text, links in both.batch(batch["text"]):
                 order = np.lexsort((links, text))
                 text, links = text[order], links[order]
                 new = np.ones(len(links), bool)
                 new[1:] = (links[1:] != links[:-1]) | (text[1:] != text[:-1])
                 at = np.flatnonzero(new)
-                pairs.append(links[at])
-                counts.append(np.diff(np.append(at, len(links))))
-                held.append(np.bincount(text[at], minlength=len(digests)))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(_flat(held))]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["print"],
-                    batch["copies"],
-                    *[pa.array(_flat(x), pa.int64()) for x in sizes],
-                    pa.array(shas, pa.string()),
-                    *[pa.ListArray.from_arrays(offsets, pa.array(_flat(x), pa.int64())) for x in (pairs, counts)],
-                ],
-                names=["print", "copies", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "counts"],
-            )
+                counts = np.diff(np.append(at, len(links)))
+                held = np.bincount(text[at], minlength=len(shas))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(held)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["print"].slice(first, len(shas)),
+                        batch["copies"].slice(first, len(shas)),
+                        *[pa.array(x, pa.int64()) for x in sizes],
+                        pa.array(shas, pa.string()),
+                        *[pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (links[at], counts)],
+                    ],
+                    names=["print", "copies", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "counts"],
+                )
+                first += len(shas)
 
     return texts.select(F.sha2("text", 256).alias("print"), "copies", "text").mapInArrow(
         run,
