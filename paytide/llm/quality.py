@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paytide.llm.frames import narrowed, without
+from paytide.llm.frames import narrowed, staged, without
 from paytide.llm.text import LOWER, SPACE, chunk_hashes, mix, row_slices, utf8
 
 SLICE_BYTES = 2 << 20
@@ -163,8 +163,8 @@ def fit(
     """Fit on rated texts, at most `sample` of them: those with the smallest hash.
 
     Grades are whole numbers from 0 to `levels` - 1; rows with a null or other grade or a
-    null text are left out. With fewer than two grades the model gives all texts the best.
-    The driver holds the tokens of the sample only.
+    null text are left out; equal texts of equal grades count once. With fewer than two
+    grades the model gives all texts the best. The driver holds the tokens of the sample only.
     """
     rows = narrowed(rated, text=text_col, grade=grade_col).filter(
         f"text IS NOT NULL AND grade BETWEEN 0 AND {levels - 1}"
@@ -175,6 +175,8 @@ def fit(
     if border is None:
         return Model(levels)
     chosen = rows.filter(order <= border).select("text", F.col("grade").cast("int").alias("grade"))
+    # No more texts than the sample, each with as many grades as there are.
+    chosen = chosen.distinct()
 
     def run(batches):
         for batch in batches:
@@ -183,7 +185,7 @@ def fit(
                 [pa.array(found, pa.binary()), batch["grade"]], names=["tokens", "grade"]
             )
 
-    got = chosen.mapInArrow(run, "tokens binary, grade int").limit(2 * sample).toPandas()
+    got = chosen.mapInArrow(run, "tokens binary, grade int").toPandas()
     # An order of its own, whatever the order of the partitions.
     got = got.sort_values(["tokens", "grade"], ignore_index=True)
     texts = [np.frombuffer(t, np.int64) for t in got["tokens"]]
@@ -233,10 +235,19 @@ def scored(
     return df.mapInArrow(run, schema)
 
 
-def graded(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """`(text, grade)` of the labelled documents: 0 toxic, 1 poor, 2 good."""
+def graded(documents: DataFrame, labels: DataFrame, sample: int = 8192) -> DataFrame:
+    """`(text, grade)` of at most `sample` labelled documents: 0 toxic, 1 poor, 2 good.
+
+    The sample is drawn from the labels alone, those of the smallest hash of the id, and is
+    sent to the documents, whose texts are read once and never shuffled. Labels with a null
+    are left out; of conflicting labels of an id the lowest grade counts; rows that repeat
+    an id come back as often.
+    """
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(
         (F.col("quality") == 1) & (F.col("toxic") == 0), 2
     )
-    rated = labels.select("doc_id", grade.alias("grade")).dropna().dropDuplicates(["doc_id"])
-    return documents.select("doc_id", "text").join(rated, "doc_id").select("text", "grade")
+    rated = labels.select("doc_id", grade.alias("grade")).dropna()
+    rated = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    chosen = staged(rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return staged(texts.select("text", "grade"))
