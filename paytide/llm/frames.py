@@ -13,11 +13,24 @@ from paytide.sources.staging import scratch_path, staged
 __all__ = ["arrow_groups", "fresh", "importable", "narrowed", "scratch_path", "staged", "without"]
 
 
+#: Workers give memory back to the system when a batch is done, instead of keeping it for
+#: the next one: an executor has several of them, which rarely need it at once.
+_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": "262144",
+    "MALLOC_TRIM_THRESHOLD_": "262144",
+}
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers that see this checkout import it, wherever the driver was started.
-    On a cluster without it the package is shipped as usual, with `--py-files`."""
+    On a cluster without it the package is shipped as usual, with `--py-files`. Settings of
+    memory that the workers' environment has already are left alone."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
+    for name, value in _MEMORY.items():
+        environment.setdefault(name, value)
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
