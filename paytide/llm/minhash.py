@@ -2,11 +2,14 @@
 
 1. One pass over the texts makes a fingerprint of the word sequence, the number of
    distinct shingles and `hashes` universal hash minima. Texts of equal word sequences
-   form one class and only the classes go on.
-2. Classes that agree on all minima of a band share a bucket. Every member of a bucket is
-   compared with the bucket's smallest member; found links are joined to components.
-3. Pairs of a bucket that are still in different components are compared in blocks, so
-   no pair that shares a bucket is left out unless it is connected already.
+   form one class and only the classes go on, under keys of their own; ids come back last.
+2. Classes that agree on all minima of a band share a bucket. The shingle sets of all that
+   share one are drawn from the texts once.
+3. Every member of a bucket is compared with the bucket's smallest member; found links are
+   joined to components.
+4. Members of a bucket that are still in different components are compared in blocks, so
+   no pair that shares a bucket is left out unless it is connected already. A block passes
+   on a spanning forest of its links: its output grows with its members, not their pairs.
 Comparing is two-fold: the signatures must agree well enough, then the full shingle sets
 decide. A pair at the threshold shares no bucket with probability
 (1 - 0.75**rows)**bands, 5e-6 at the defaults.
@@ -17,12 +20,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paytide.llm.components import connected_components
-from paytide.llm.frames import narrowed, staged
+from paytide.llm.frames import arrow_groups, narrowed, staged
 from paytide.llm.text import row_slices, shingles, utf8, words
 
 SLICE_BYTES = 2 << 20
@@ -73,7 +77,7 @@ def sketches(docs: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
 
     def run(batches):
         minima = Minima(hashes, seed)
-        draw = np.random.default_rng(seed + 1).integers(0, 2**64, 2, dtype=np.uint64) | np.uint64(1)
+        draw = _fingerprint_keys(seed)
         for batch in batches:
             prints, counts, signatures = [], [], []
             for sequence, found in shingle_sets(batch["text"], size):
@@ -97,6 +101,10 @@ def sketches(docs: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, print binary, n_shingles long, signature binary")
 
 
+def _fingerprint_keys(seed: int) -> np.ndarray:
+    return np.random.default_rng(seed + 1).integers(0, 2**64, 2, dtype=np.uint64) | np.uint64(1)
+
+
 def _fingerprint(sequence: np.ndarray, keys: np.ndarray) -> bytes:
     """128 bits of a word sequence."""
     place = np.arange(1, len(sequence) + 1, dtype=np.uint64)
@@ -158,10 +166,45 @@ def _alike(pairs: DataFrame, classes: DataFrame, hashes: int, floor: float) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def _cross_pairs(
-    members: DataFrame, found: DataFrame, classes: DataFrame, hashes: int, floor: float
+def class_sets(classes: DataFrame, wanted: DataFrame, docs: DataFrame, size: int, seed: int) -> DataFrame:
+    """`(id, found)`: the sorted shingle hashes of the wanted classes, 8 bytes each.
+
+    A class is read from the row of its document whose word sequence has its fingerprint:
+    rows that repeat a document id may hold other texts.
+    """
+    asked = classes.join(wanted, "id", "left_semi").select("id", "doc", "print")
+    rows = docs.withColumnRenamed("id", "doc").join(asked, "doc").select("id", "print", "text")
+
+    def run(batches):
+        keys = _fingerprint_keys(seed)
+        for batch in batches:
+            kept, found = [], []
+            for i, (sequence, own) in enumerate(shingle_sets(batch["text"], size)):
+                if len(own) and _fingerprint(sequence, keys) == batch["print"][i].as_py():
+                    kept.append(i)
+                    found.append(own.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"].take(pa.array(kept, pa.int64())), pa.array(found, pa.binary())], names=["id", "found"]
+            )
+
+    # Rows of one class are equal, so any of them will do.
+    return rows.mapInArrow(run, "id long, found binary").dropDuplicates(["id"])
+
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether 100 * common >= percent * union; both sorted and distinct."""
+    least, most = min(len(a), len(b)), max(len(a), len(b))
+    if 100 * least < percent * most:
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _cross_links(
+    members: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame, hashes: int, floor: float, percent: int
 ) -> DataFrame:
-    """Alike pairs of a bucket in different components, other than those with its head.
+    """Links of a bucket between different components, other than those with its head, as
+    far as a spanning forest of them goes.
 
     Buckets are cut into parts of about `PART` members and every two parts meet in one
     group, so a huge bucket is spread over many groups of bounded size.
@@ -178,20 +221,22 @@ def _cross_pairs(
         .filter("low < high")
         .select("bucket")
     )
-    parts = F.ceil(F.col("n") / PART).cast("int")
+    parts = F.ceil(F.col("n") / PART).cast("long")
     open_members = (
         placed.filter("id != head")
         .join(mixed, "bucket")
         .join(classes.select("id", "signature"), "id")
+        .join(sets, "id")
         .withColumn("parts", parts)
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
         .select(
             "bucket",
             "id",
             "component",
             "signature",
+            "found",
             "part",
-            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"),
         )
         .select(
             "bucket",
@@ -201,42 +246,51 @@ def _cross_pairs(
             "id",
             "component",
             "signature",
+            "found",
         )
     )
+    keys = ["bucket", "i", "j"]
 
-    def block(table: pa.Table) -> pa.Table:
+    def block(table: pa.Table) -> tuple[list[int], list[int]]:
         ids = table["id"].to_numpy()
-        comps = table["component"].to_numpy()
+        comps = pd.factorize(table["component"].to_numpy())[0]
         part = table["part"].to_numpy()
         sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, hashes)
+        own = [np.frombuffer(x, np.uint64) for x in table["found"].to_pylist()]
         first = part == part.min()
         left = np.flatnonzero(first)
         right = np.flatnonzero(~first) if not first.all() else left
         if table["i"][0].as_py() != table["j"][0].as_py() and first.all():
             left = left[:0]  # the other part is empty; this part meets itself elsewhere
-        pairs = []
-        for x in left:
-            ys = right[(comps[right] != comps[x]) & (ids[right] != ids[x])]
+        a, b = [], []
+        for x in left.tolist():
+            ys = right[comps[right] != comps[x]]
             ys = ys[(sig[ys] == sig[x]).sum(axis=1) >= floor * hashes]
-            pairs.append(np.stack([np.minimum(ids[x], ids[ys]), np.maximum(ids[x], ids[ys])]))
-        flat = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(flat[0], pa.int64()), "b": pa.array(flat[1], pa.int64())})
+            for y in ys.tolist():
+                # A link joins two components for the rest of the block.
+                if comps[y] != comps[x] and linked(own[x], own[y], percent):
+                    a.append(int(ids[x]))
+                    b.append(int(ids[y]))
+                    comps[comps == comps[y]] = comps[x]
+        return a, b
 
-    return (
-        open_members.groupBy("bucket", "i", "j")
-        .applyInArrow(block, "a long, b long")
-        .groupBy("a", "b")
-        .agg(F.lit(1).alias("one"))
-        .select("a", "b")
-    )
+    def run(batches):
+        for group in arrow_groups(batches, keys):
+            if len(group) < 2:
+                continue
+            a, b = block(group)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return open_members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs `(a, b)` whose full shingle sets have 100 * common >= percent * union.
 
-    A document with many partners is dealt out in groups of about `PARTNERS`. Within a
-    task the rows come sorted by group, the group's own text first, and pass one by one:
-    one set and the current batch are all that is held.
+    A class with many partners is dealt out in groups of about `PARTNERS`. Within a task the
+    rows come sorted by group, the group's own set first, and pass one by one: one set and
+    the current batch are all that is held.
     """
     group = F.pmod(F.xxhash64("b"), F.col("spread"))
     degrees = staged(pairs.groupBy("a").agg(F.count("b").alias("n")))
@@ -248,23 +302,21 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     needed = dealt.select(F.col("b").alias("id"), "a", "g", F.lit(1).alias("role")).union(
         dealt.select(F.col("a").alias("id"), "a", "g", F.lit(0).alias("role")).distinct()
     )
-    wanted = staged(needed.select("id").distinct())
-    texts = docs.join(wanted, "id", "left_semi").dropDuplicates(["id"])
-    rows = needed.join(texts, "id").select("a", "g", "role", F.col("id").alias("b"), "text")
+    rows = needed.join(sets, "id").select("a", "g", "role", F.col("id").alias("b"), "found")
 
     def run(batches):
         key, own = None, None
         for batch in batches:
             a, g, role, b = (batch[c].to_pylist() for c in ("a", "g", "role", "b"))
             keep: list[bool] = []
-            for i, (_, found) in enumerate(shingle_sets(batch["text"], size)):
+            for i, raw in enumerate(batch["found"]):
+                found = np.frombuffer(raw.as_py(), np.uint64)
                 if role[i] == 0:
                     key, own = (a[i], g[i]), found
                     keep.append(False)
                     continue
-                assert key == (a[i], g[i]), "a group's own text comes first"
-                common = len(np.intersect1d(own, found, assume_unique=True))
-                keep.append(100 * common >= percent * (len(own) + len(found) - common))
+                assert key == (a[i], g[i]), "a group's own set comes first"
+                keep.append(linked(own, found, percent))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(
                 pa.array(keep, pa.bool_())
             )
@@ -292,41 +344,45 @@ def near_duplicates(
     is its distinct runs of `size` words (all words as one run where there are fewer).
     Documents without words (null, empty, blank) have an empty set, no link and are kept.
     Ids are integers; rows with a null id take no part in linking and come back with a
-    null component and kept true; rows that repeat an id share its result. Components
-    are numbered by their smallest id, the one that is kept. Further columns of `df` are
-    not read. The intermediate tables are written to the shared folder.
+    null component and kept true. Rows that repeat an id are told by their texts: equal
+    texts share a result, and each of different texts is linked by itself. Components are
+    numbered by their smallest id, whose rows are kept. Long texts are read whole; an empty
+    table gives an empty table; further columns of `df` are not read. The intermediate
+    tables are written to the shared folder.
     """
     hashes = bands * rows
-    floor = max(0.0, percent / 100 - 0.2)  # five standard deviations of 128 minima
+    # Five standard deviations of the share of minima on which a pair at the threshold agrees.
+    share = percent / 100
+    floor = max(0.0, share - 5 * (share * (1 - share) / hashes) ** 0.5)
     docs = narrowed(df, id=id_col, text=text_col)
     docs = docs.withColumn("id", F.col("id").cast("long"))
     drawn = staged(sketches(docs, size, hashes, seed))
 
+    # A class has a key of its own: an id may name several texts.
     classes = staged(
         drawn.filter("id IS NOT NULL AND n_shingles > 0")
         .groupBy("print")
         .agg(
-            F.min("id").alias("id"),
+            F.min("id").alias("doc"),
             F.min_by("signature", "id").alias("signature"),
             F.max("n_shingles").alias("n_shingles"),
         )
+        .withColumn("id", F.monotonically_increasing_id())
     )
     members, stars = _stars(classes, bands, rows)
-    unique_docs = docs.filter("id IS NOT NULL")
-    links = staged(
-        confirmed(staged(_alike(stars, classes, hashes, floor)), unique_docs, size, percent)
-    )
-    found = staged(connected_components(links, "a", "b"))
-    more = staged(_cross_pairs(members, found, classes, hashes, floor))
-    links = links.union(confirmed(more, unique_docs, size, percent))
+    sets = staged(class_sets(classes, members.select("id").distinct(), docs, size, seed))
+    stars = staged(_alike(stars, classes, hashes, floor))
+    links = staged(confirmed(stars, sets, percent))
     found = staged(connected_components(links, "a", "b"))
+    more = staged(_cross_links(members, found, classes, sets, hashes, floor, percent))
+    found = staged(connected_components(links.union(more), "a", "b"))
 
-    # A document id may name several texts only by mistake; its class is per row.
-    labels = staged(
-        classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-            "print", F.coalesce("component", "id").alias("component")
-        )
+    # From keys to ids: the smallest of a component.
+    keyed = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "print", "doc", F.coalesce("component", "id").alias("component")
     )
+    least = keyed.groupBy("component").agg(F.min("doc").alias("least"))
+    labels = staged(keyed.join(least, "component").select("print", F.col("least").alias("component")))
     return (
         drawn.select("id", "print", "n_shingles")
         .join(labels, "print", "left")

@@ -127,6 +127,43 @@ def test_near_duplicates_equal_brute_force(docs):
     assert [r.kept for r in lost.filter("doc_id IS NULL").collect()] == [True]
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """An id that names two texts: a near copy of each is linked."""
+    importable(spark)
+    draw = random.Random(21)
+    a, b = ([f"{p}{draw.randint(0, 10**6)}" for _ in range(60)] for p in "ab")
+    near_a, near_b = ([*x[:50], "other", *x[51:]] for x in (a, b))
+    rows = [(1, a), (1, b), (2, near_a), (3, near_b), (None, a)]
+    docs = staged(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string"))
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect()), key=str)
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (None, None, True)]
+
+
+def test_near_duplicates_in_one_large_bucket(spark, monkeypatch):
+    """Copies of a common text with other changes each: similar to some, not to others."""
+    importable(spark)
+    monkeypatch.setattr("paytide.llm.minhash.PART", 16)
+    draw = random.Random(22)
+    base = [f"w{draw.randint(0, 10**6)}" for _ in range(120)]
+    texts = []
+    for _ in range(150):
+        words = list(base)
+        for at in draw.sample(range(120), draw.choice([1, 2, 3, 4, 5])):
+            words[at] = f"x{draw.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    docs = staged(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = [sets(t) for t in texts]
+    label = list(range(len(texts)))
+    for i, x in enumerate(found):
+        for j in range(i):
+            if 100 * len(x & found[j]) >= 75 * len(x | found[j]):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if v == old else v for v in label]
+    assert len(set(label)) > 2
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == label
+
+
 def test_components(spark):
     draw = random.Random(3)
     links = [(i, i + 1) for i in range(40, 60)] + [(7, i) for i in range(8, 30)]
