@@ -320,6 +320,17 @@ SQL = {
             abs((amount - m) / sd) > 3 as is_zscore_outlier
         from silver join profile on sender_bank = b"""
     ),
+    "zscore_trailing": over_stages(
+        f"""select s.txn_id, {r2('(s.amount - h.m) / nullif(h.sd, 0)')} as z_score,
+            coalesce(abs((s.amount - h.m) / nullif(h.sd, 0)) > 3, false) as is_zscore_outlier
+        from silver s left join (
+            select d.sender_bank, d.txn_date, avg(e.amount) as m, stddev_samp(e.amount) as sd
+            from (select distinct sender_bank, txn_date from silver) d join silver e
+                on d.sender_bank = e.sender_bank
+                and e.txn_date between d.txn_date - 7 and d.txn_date - 1
+            group by d.sender_bank, d.txn_date) h
+            on s.sender_bank = h.sender_bank and s.txn_date = h.txn_date"""
+    ),
     "iqr_keeps_columns": over_stages(
         """select txn_id, txn_hour as n, amount as q1,
             amount < lower_fence or amount > upper_fence as is_iqr_outlier
@@ -352,6 +363,10 @@ SQL = {
         select l_returnflag, count(*) as n, quantile_cont(l_quantity, 0.25) as q1,
             quantile_cont(l_quantity, 0.5) as q2, quantile_cont(l_quantity, 0.75) as q3
         from lineitem group by l_returnflag""",
+    "lineitem_discount_quartiles": """
+        select l_linestatus, count(*) as n, round(quantile_cont(l_discount, 0.25), 6) as q1,
+            round(quantile_cont(l_discount, 0.5), 6) as q2, round(quantile_cont(l_discount, 0.75), 6) as q3
+        from lineitem group by l_linestatus""",
     "orders_rate_summary": f"""
         select o_orderpriority, count(*) as total_orders,
             {_n("o_orderstatus = 'P'")} as partial_orders,

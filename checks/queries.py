@@ -467,6 +467,15 @@ def zscore_stored_profile(spark, sf_dir):
     return flagged.select("txn_id", money(F.col("z_score")).alias("z_score"), "is_zscore_outlier")
 
 
+@query
+def zscore_trailing(spark, sf_dir):
+    """Against the seven days before, from a stored daily profile."""
+    rows = staged(_silver(spark, sf_dir))
+    daily = staged(detection.daily_profile(rows))
+    flagged = detection.zscore_trailing(rows, 7, daily)
+    return flagged.select("txn_id", money(F.col("z_score")).alias("z_score"), "is_zscore_outlier")
+
+
 @query
 def iqr_keeps_columns(spark, sf_dir):
     """The caller's own `n` and `q1` stay as they are."""
@@ -530,6 +539,16 @@ def lineitem_price_quartiles(spark, sf_dir):
     )
 
 
+@query
+def lineitem_discount_quartiles(spark, sf_dir):
+    """Values between 0 and 1."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    found = detection.group_percentiles(
+        items, {"q1": 0.25, "q2": 0.5, "q3": 0.75}, key="l_linestatus", value="l_discount"
+    )
+    return found.withColumns({c: F.round(c, 6) for c in ("q1", "q2", "q3")})
+
+
 _ORDER_RATES = Summary(
     keys=("o_orderpriority",),
     columns={

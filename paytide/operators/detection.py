@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from paytide.functions.rules import any_of, detection_rules
 from paytide.functions.scalars import flag
 from paytide.operators.lookup import attach
+from paytide.sources.staging import staged
 
 VELOCITY_WINDOW_SECONDS = 3600
 VELOCITY_MIN_TXNS = 3
-SLICE_WINDOWS = 24
+SLICE_SECONDS = 6 * 3600
 ZSCORE_LIMIT = 3.0
 IQR_FENCE = 1.5
+# Buckets of a key's distinct values, and the sketch's accuracy (an error of one in so many).
+BUCKETS = 128
+SKETCH_ACCURACY = 2000
 FAILURE_ALERT_PCT = 10.0
 
 
@@ -40,41 +44,44 @@ def velocity_counts(
     (`n_window`, both ends included).
 
     A plain range window per key would put all rows of a busy key in one task. Here rows
-    are first counted per second, and time is cut into slices of `SLICE_WINDOWS` windows.
-    The seconds of a slice's last window are also handed to the next slice, so a window
-    never has to look outside its own. A task group then holds at most that many windows
-    of seconds (25 hours for the default), however many rows the key has.
-
-    Within a slice each second enters the count when it occurs and leaves it when it is
-    `window_seconds` old. The count is then one running sum over arrivals and departures,
-    whose cost does not depend on how full the windows are.
+    are first counted per second. Each second enters the count when it occurs and leaves it
+    when it is `window_seconds` old; the count is the running sum of these changes, whose
+    cost does not depend on how full the windows are. Time is cut into slices, the changes
+    of each slice are added up, and a slice starts from the sum of all before it. So a task
+    group holds the changes of one slice, at most two for each of its `SLICE_SECONDS`
+    seconds, however many rows a key has and however long the window is.
     """
     per_second = (
         df.filter(F.col(event_time).isNotNull())
         .groupBy(key, F.unix_seconds(event_time).alias("second"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    length = window_seconds * SLICE_WINDOWS
-    home = F.floor(F.col("second") / length)
-    reaches_next = F.pmod(F.col("second"), F.lit(length)) >= length - window_seconds
-    slices = F.when(reaches_next, F.array(home, home + 1)).otherwise(F.array(home))
     changes = F.array(
         F.struct(F.col("second").alias("_at"), F.col("n").alias("_change")),
         F.struct(
             (F.col("second") + window_seconds + 1).alias("_at"), (-F.col("n")).alias("_change")
         ),
     )
-    sliced = per_second.select("*", home.alias("_home"), F.explode(slices).alias("_slice"))
-    flow = sliced.select(key, "second", "n", "_home", "_slice", F.inline(changes))
+    flow = per_second.select(F.col(key).alias("_key"), "second", "n", F.inline(changes)).withColumn(
+        "_slice", F.floor(F.col("_at") / SLICE_SECONDS)
+    )
+    earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        flow.groupBy("_key", "_slice")
+        .agg(F.sum("_change").alias("_total"))
+        .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+        .select(F.col("_key").alias("_k"), F.col("_slice").alias("_s"), "_before")
+    )
     so_far = (
-        Window.partitionBy(key, "_slice")
+        Window.partitionBy("_key", "_slice")
         .orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        flow.withColumn("n_window", F.sum("_change").over(so_far))
-        .filter("_slice = _home AND _change > 0")
-        .select(key, "second", "n", "n_window")
+        flow.withColumn("_within", F.sum("_change").over(so_far))
+        .filter("_change > 0")
+        .join(starts, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_slice") == F.col("_s")))
+        .select(F.col("_key").alias(key), "second", "n", (F.col("_before") + F.col("_within")).alias("n_window"))
     )
 
 
@@ -146,6 +153,92 @@ def zscore_flags(
     )
 
 
+# Four decimals, so that squares of amounts fit; sums of squares have 30 digits before the point.
+_SQUARED = "decimal(18,4)"
+
+
+def daily_profile(
+    df: DataFrame, key: str = "sender_bank", value: str = "amount", day: str = "txn_date"
+) -> DataFrame:
+    """`(key, day, n, value_sum, square_sum)`: what a key's profile needs of one day.
+
+    Sums are exact (values at four decimals, below 1e14), so days can be stored once and
+    merged in any order and grouping with the same digits. Values that do not fit are left
+    out, like NULLs.
+    """
+    exact = F.col(value).try_cast(_SQUARED)
+    return (
+        df.filter(exact.isNotNull())
+        .groupBy(key, day)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(exact).cast("decimal(38,4)").alias("value_sum"),
+            F.sum((exact * exact).cast("decimal(36,8)")).cast("decimal(38,8)").alias("square_sum"),
+        )
+    )
+
+
+def _profile_of(n: Column, value_sum: Column, square_sum: Column) -> dict[str, Column]:
+    """Mean and sample deviation from exact sums; no deviation below two values."""
+    total = value_sum.cast("double")
+    spread = square_sum.cast("double") - total * total / n
+    return {
+        "profile_rows": n,
+        "profile_mean": F.try_divide(total, n),
+        "profile_stddev": F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), F.nullif(n - 1, F.lit(0)))),
+    }
+
+
+def merged_profile(daily: DataFrame, key: str = "sender_bank") -> DataFrame:
+    """The profile of all days of a `daily_profile`, for `zscore_flags`."""
+    sums = daily.groupBy(key).agg(
+        *[F.sum(c).alias(c) for c in ("n", "value_sum", "square_sum")]
+    )
+    shown = _profile_of(F.col("n"), F.col("value_sum"), F.col("square_sum"))
+    return sums.select(key, *[c.alias(name) for name, c in shown.items()])
+
+
+def trailing_profile(
+    daily: DataFrame, days: int, key: str = "sender_bank", day: str = "txn_date"
+) -> DataFrame:
+    """Per key and day the profile of the `days` days before it, from `daily_profile`.
+
+    Days are merged, rows are not read again. A window holds a key's days only. Days without
+    a row for the key have no line; a day without any earlier one has no profile.
+    """
+    at = F.unix_date(day)
+    before = Window.partitionBy(key).orderBy(at).rangeBetween(-days, -1)
+    sums = {c: F.sum(c).over(before) for c in ("n", "value_sum", "square_sum")}
+    found = daily.filter(F.col(day).isNotNull()).select(key, day, *[c.alias(f"_{n}") for n, c in sums.items()])
+    shown = _profile_of(F.col("_n"), F.col("_value_sum"), F.col("_square_sum"))
+    return found.select(key, day, *[c.alias(name) for name, c in shown.items()])
+
+
+def zscore_trailing(
+    df: DataFrame,
+    days: int,
+    daily: DataFrame | None = None,
+    *,
+    key: str = "sender_bank",
+    value: str = "amount",
+    day: str = "txn_date",
+    limit: float = ZSCORE_LIMIT,
+    row_id: Sequence[str] = ("txn_id",),
+) -> DataFrame:
+    """Add `z_score` against the key's `days` days before the row's own, and
+    `is_zscore_outlier`. A stored `daily` profile saves the pass over history; rows of a day
+    without a profile, or a key without spread in it, have no score."""
+    daily = daily if daily is not None else daily_profile(df, key, value, day)
+    profile = trailing_profile(daily, days, key, day)
+    joined = attach(df, profile, [key, day], weight=None, spread_by=row_id)
+    z = F.try_divide(F.col(value) - F.col("profile_mean"), F.col("profile_stddev"))
+    return (
+        joined.withColumn("z_score", z)
+        .withColumn("is_zscore_outlier", flag(F.abs("z_score") > limit))
+        .drop("profile_rows", "profile_mean", "profile_stddev")
+    )
+
+
 # --- quartiles ------------------------------------------------------------------------
 
 
@@ -155,24 +248,38 @@ def group_percentiles(
     *,
     key: str = "sender_bank",
     value: str = "amount",
-    bucket_width: float = 1000.0,
+    bucket_width: float | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles of `value` per key, plus `n`, the values counted.
 
     The built-in exact percentile keeps all distinct values of a group in one task's
-    memory. Instead, equal values are counted before the shuffle, buckets of
-    `bucket_width` locate the ranks asked for, and only the buckets holding one are
-    ordered value by value. With amounts in cents up to the accepted limit a key has at
-    most 1,000 buckets of 100,000 distinct values, whatever its number of rows.
+    memory. Instead, equal values are counted before the shuffle, buckets locate the ranks
+    asked for, and only the buckets holding one are ordered value by value. The buckets' edges are
+    quantiles of each key's distinct values, from a sketch that is merged on the map side,
+    so a bucket holds about one in `BUCKETS` of them whatever the values' range; the edges
+    only balance the work and the result is exact. With `bucket_width` the edges are its
+    multiples instead, which saves the sketch where the range is known.
     """
     values = (
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(key).alias("_key"), F.col(value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_value") / bucket_width))
-        # Stated for both uses below, so that they share one scan and one shuffle.
-        .filter(F.col("_bucket").isNotNull())
     )
+    if bucket_width is None:
+        # Staged: the sketch, the buckets and the ranks all start from it.
+        values = staged(values)
+        steps = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+        edges = values.groupBy("_key").agg(
+            F.percentile_approx("_value", steps, SKETCH_ACCURACY).alias("_edges"),
+            F.count(F.lit(1)).alias("_weight"),
+        )
+        values = attach(values, edges, ["_key"], weight="_weight", spread_by=["_value"])
+        bucket = F.size(F.filter("_edges", lambda edge: edge <= F.col("_value"))).cast("long")
+        values = values.select("_key", "_value", "_n", bucket.alias("_bucket"))
+    else:
+        values = values.withColumn("_bucket", F.floor(F.col("_value") / bucket_width))
+    # Stated for both uses below, so that they share one scan and one shuffle.
+    values = values.filter(F.col("_bucket").isNotNull())
     earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -234,7 +341,7 @@ def iqr_fences(
     key: str = "sender_bank",
     value: str = "amount",
     fence: float = IQR_FENCE,
-    bucket_width: float = 1000.0,
+    bucket_width: float | None = None,
 ) -> DataFrame:
     """Quartiles per key and the limits `fence` interquartile ranges outside them."""
     quartiles = group_percentiles(

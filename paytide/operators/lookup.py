@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 from paytide.sources.staging import staged
 
@@ -21,6 +21,8 @@ def _bytes(lookup: DataFrame) -> int:
     def width(field) -> Column:
         if isinstance(field.dataType, (StringType, BinaryType)):
             return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if isinstance(field.dataType, ArrayType):  # of numbers
+            return F.coalesce(F.size(field.name) * 8, F.lit(0))
         return F.lit(8)
 
     size = reduce(Column.__add__, [width(f) for f in lookup.schema])

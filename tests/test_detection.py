@@ -272,3 +272,79 @@ def test_iqr_flags_keep_the_callers_columns(spark):
     out = detection.iqr_flags(df)
     assert out.columns == [*df.columns, "is_iqr_outlier"]
     assert {(r.txn_id, r.n, r.q1) for r in out.filter("is_iqr_outlier").collect()} == {("t99", 5, "own")}
+
+
+def test_velocity_groups_are_bounded_whatever_the_window(spark):
+    """A window of 30 days over a busy key: no group holds more than a slice's changes."""
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    seconds = np.unique(draw.integers(0, 40 * 86_400, 6000))
+    rows = [("hot", int(s)) for s in seconds for _ in range(1 + s % 3)] + [(None, 5), ("cold", 10**9)]
+    df = spark.createDataFrame(rows, "k string, s long").withColumn("t", F.timestamp_seconds("s"))
+    window = 30 * 86_400
+    found = detection.velocity_counts(df, key="k", event_time="t", window_seconds=window)
+    got = {(r.k, r.second): (r.n, r.n_window) for r in found.collect()}
+    counts = np.array([1 + s % 3 for s in seconds])
+    upto = np.concatenate([[0], np.cumsum(counts)])
+    for i, s in enumerate(seconds):
+        first = np.searchsorted(seconds, s - window)
+        assert got["hot", int(s)] == (counts[i], upto[i + 1] - upto[first])
+    assert got[None, 5] == (1, 1) and got["cold", 10**9] == (1, 1) and len(got) == len(seconds) + 2
+    changes = [*seconds, *(seconds + window + 1)]
+    largest = max(np.unique(np.array(changes) // detection.SLICE_SECONDS, return_counts=True)[1])
+    assert largest <= 2 * detection.SLICE_SECONDS and largest < len(seconds) / 10
+
+
+@pytest.mark.parametrize("low, high", [(0.0, 1.0), (0.0, 1e12), (-1e-9, 1e-9)])
+def test_percentiles_of_any_range(spark, low, high):
+    """Buckets follow the values, so the work is even and the result exact."""
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    data = {"a": draw.uniform(low, high, 4000), "b": np.exp(draw.uniform(-20, 20, 3000)) * high}
+    df = spark.createDataFrame([(k, float(v)) for k, x in data.items() for v in x], "sender_bank string, amount double")
+    wanted = {"q1": 0.25, "q2": 0.5, "q9": 0.999}
+    got = {r.sender_bank: r for r in detection.group_percentiles(df, wanted).collect()}
+    for k, x in data.items():
+        for name, p in wanted.items():
+            assert got[k][name] == pytest.approx(np.quantile(x, p), rel=1e-12, abs=1e-24)
+        edges = np.array(
+            df.filter(f"sender_bank = '{k}'")
+            .agg(F.percentile_approx("amount", F.array(*[F.lit(i / detection.BUCKETS) for i in range(1, detection.BUCKETS)]), detection.SKETCH_ACCURACY))
+            .first()[0]
+        )
+        held = np.bincount(np.searchsorted(edges, x, side="right"))
+        assert held.max() <= 2 * len(x) / detection.BUCKETS
+
+
+def test_trailing_profile_merges_days(spark):
+    import random as r
+
+    draw = r.Random(5)
+    rows = [("a" if draw.random() < 0.7 else "b", f"2026-03-{draw.randint(1, 12):02d}", round(draw.uniform(1, 9e5), 2)) for _ in range(600)]
+    rows += [("a", "2026-03-09", None), (None, "2026-03-09", 5.0), ("a", None, 7.0)]
+    df = spark.createDataFrame(rows, "sender_bank string, d string, amount double").selectExpr(
+        "sender_bank", "cast(d as date) as txn_date", "amount", "uuid() as txn_id"
+    )
+    daily = detection.daily_profile(df)
+    merged = {r.sender_bank: r for r in detection.merged_profile(daily.repartition(7)).collect()}
+    again = {r.sender_bank: r for r in detection.merged_profile(daily.coalesce(1)).collect()}
+    assert merged == again  # the same digits for any order
+    direct = {r.sender_bank: r for r in detection.group_profile(df.filter("amount IS NOT NULL")).collect()}
+    for k in ("a", "b"):
+        assert merged[k].profile_rows == direct[k].profile_rows
+        assert merged[k].profile_mean == pytest.approx(direct[k].profile_mean, rel=1e-13)
+        assert merged[k].profile_stddev == pytest.approx(direct[k].profile_stddev, rel=1e-12)
+    scored = detection.zscore_trailing(df, 3).filter("sender_bank = 'a' AND txn_date = '2026-03-09'").collect()
+    before = [v for k, d, v in rows if k == "a" and d and "2026-03-06" <= d <= "2026-03-08"]
+    import statistics
+
+    mean, sd = statistics.fmean(before), statistics.stdev(before)
+    for row in scored:
+        if row.amount is None:
+            assert row.z_score is None and not row.is_zscore_outlier
+        else:
+            assert row.z_score == pytest.approx((row.amount - mean) / sd, rel=1e-9)
+    first = detection.zscore_trailing(df, 3).filter("txn_date = '2026-03-01' OR txn_date IS NULL").collect()
+    assert {row.z_score for row in first} == {None}
