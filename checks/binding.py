@@ -75,8 +75,33 @@ BRONZE_SQL = (
 )
 
 
+#: The same transactions with every column as text, and values that do not convert.
+TEXT_COLUMNS = {
+    **COLUMNS,
+    "txn_date": "case when event_id % 71 = 0 then '21/03' else substr(cast(ts as string), 1, 10) end",
+    "txn_hour": "case when event_id % 59 = 0 then 'noon' else cast(hour(ts) as string) end",
+    "amount": "case when event_id % 61 = 0 then 'n/a' when event_id % 103 = 0 then '1500000'"
+    " when event_id % 107 = 0 then '-25'"
+    " else cast(cast(value as decimal(12,2)) * 2500"
+    " + cast(event_id % 100 as decimal(4,0)) * cast(0.01 as decimal(3,2)) as string) end",
+    "is_anomaly": "case when event_id % 67 = 0 then 'maybe' when event_id % 19 = 0 then 'true' else 'false' end",
+}
+
+_TEXT_SELECT = ", ".join(f"{expression} as {name}" for name, expression in TEXT_COLUMNS.items())
+
+BRONZE_TEXT_SQL = BRONZE_SQL.replace(_SELECT, _TEXT_SELECT)
+
+
+def bronze_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _attempts(spark, sf_dir, TEXT_COLUMNS)
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions from one scan of `events`, with a late copy of every 20th."""
+    return _attempts(spark, sf_dir, COLUMNS)
+
+
+def _attempts(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     attempts = events.selectExpr(
         "event_id",
@@ -85,5 +110,5 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         "explode(if(event_id % 20 = 0, array(ts, ts + interval '1' minute), array(ts))) as ts",
     )
     return attempts.selectExpr(
-        *[f"{expression} as {name}" for name, expression in COLUMNS.items()]
+        *[f"{expression} as {name}" for name, expression in columns.items()]
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.binding import BRONZE_SQL, COLUMNS
+from checks.binding import BRONZE_SQL, BRONZE_TEXT_SQL, COLUMNS
 
 _NAMES = list(COLUMNS)
 _RETYPED = {
@@ -194,10 +194,44 @@ _BY_EVENT_HOUR = f"""select cast(w as date) as txn_date, cast(hour(w) as integer
             {r2("count(*) filter (where status = 'FAILED') / count(*) * 100")} as failure_rate
         from (select *, date_trunc('hour', txn_timestamp) as w from silver) as s"""
 
+_CONVERTED = {
+    **_RETYPED,
+    "amount": "try_cast(amount as double)",
+    "is_anomaly": "try_cast(is_anomaly as boolean)",
+}
+_LOST = {c: f"({c} is not null and {_CONVERTED[c]} is null)" for c in _NAMES if c in _CONVERTED}
+_RAW_VALUES = ", ".join(
+    f"case when {lost} then '\"{c}\":\"' || {c} || '\"' end" for c, lost in _LOST.items()
+)
+
+
+def over_text(query: str) -> str:
+    """`query` over the transactions whose columns are all text."""
+    stages = _STAGES | {"bronze": BRONZE_TEXT_SQL, "typed": f"select {_select(_CONVERTED)} from bronze"}
+    ctes = ",\n".join(f"{name} as ({body})" for name, body in stages.items())
+    return f"with {ctes}\n{query}"
+
+
 SQL = {
     # Silver, step by step.
     "bronze_scan": over_stages("select * from bronze"),
     "bronze_append": over_stages("select * from bronze"),
+    "bronze_append_extras": over_stages(
+        """select *, case when txn_date >= '2024-01-16' then 'app-' || device_type end as channel,
+            case when txn_date >= '2024-01-16' then amount * 2 end as fee from bronze"""
+    ),
+    "bronze_mixed_files": over_stages("select * from bronze"),
+    "enforce_schema_text": over_text(
+        f"""select {_select(_CONVERTED)}, case when {' or '.join(_LOST.values())}
+            then '{{' || array_to_string([{_RAW_VALUES}], ',') || '}}' end as raw_values from bronze"""
+    ),
+    "conversion_audit": over_text(
+        " union all ".join(
+            f"select '{c}' as column_name, count({c}) as n_values, {_n(_LOST.get(c, 'false'))} as n_lost from bronze"
+            for c in _NAMES
+        )
+    ),
+    "silver_text": over_text(_SILVER),
     "enforce_schema": over_stages("select * from typed"),
     "handle_nulls": over_stages("select * from complete"),
     "deduplicate": over_stages("select * from uniq"),

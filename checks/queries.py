@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.binding import bronze
+from checks.binding import bronze, bronze_text
 from paytide.functions.scalars import money
 from paytide.operators import audit, cleansing, detection, summaries, views
 from paytide.operators.enrichment import enrich as add_derived
@@ -68,6 +68,51 @@ def bronze_append(spark, sf_dir):
     return lake.read_bronze(spark, path)
 
 
+@query
+def bronze_append_extras(spark, sf_dir):
+    """Two batches, the second with columns the table does not declare."""
+    path = scratch_path(spark, "bronze")
+    raw = bronze(spark, sf_dir)
+    later = raw.filter("txn_date >= '2024-01-16'").withColumns(
+        {"channel": F.concat(F.lit("app-"), "device_type"), "fee": F.col("amount") * 2}
+    )
+    lake.append_bronze(raw.filter("txn_date < '2024-01-16'"), path)
+    lake.append_bronze(later, path)
+    return lake.read_bronze(spark, path, extras=True)
+
+
+@query
+def bronze_mixed_files(spark, sf_dir):
+    """Files of a foreign writer: in some a text column without any value is a number, and
+    hours are text; taken over into a table of one schema."""
+    landing, path = (scratch_path(spark, x) for x in ("landing", "bronze"))
+    raw = bronze(spark, sf_dir)
+    plain = F.col("failure_reason").isNull()
+    empty = {"failure_reason": F.lit(None).cast("int"), "txn_hour": F.col("txn_hour").cast("string")}
+    for rows in (raw.filter(plain).withColumns(empty), raw.filter(~plain)):
+        rows.write.mode("append").partitionBy("txn_date").parquet(landing)
+    lake.append_bronze(lake.read_mixed(spark, landing), path)
+    return lake.read_bronze(spark, path)
+
+
+@query
+def enforce_schema_text(spark, sf_dir):
+    """Every column arrives as text; what does not convert is kept beside the row."""
+    typed = cleansing.enforce_schema(bronze_text(spark, sf_dir), keep_raw="raw_values")
+    return typed.withColumn("raw_values", F.to_json("raw_values"))
+
+
+@query
+def conversion_audit(spark, sf_dir):
+    """Values of each column, and those lost in conversion."""
+    return bronze_text(spark, sf_dir).transform(audit.conversion_audit)
+
+
+@query
+def silver_text(spark, sf_dir):
+    return silver(bronze_text(spark, sf_dir), with_processed_at=False)
+
+
 @query
 def enforce_schema(spark, sf_dir):
     return cleansing.enforce_schema(bronze(spark, sf_dir))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
+    IntegerType,
+    LongType,
     StringType,
     TimestampNTZType,
     TimestampType,
@@ -54,4 +56,8 @@ def conform(column: Column, source: DataType | None, target: DataType) -> Column
         return column.try_cast("date")
     if isinstance(target, StringType):
         return column.cast("string")
+    if is_text and isinstance(target, (IntegerType, LongType)):
+        # Text with a fraction gives its whole part.
+        whole = F.regexp_extract(column, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
+        return F.coalesce(column.try_cast(target), whole.try_cast(target))
     return column.try_cast(target)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from paytide import schema as s
+from paytide.functions.casting import conform
 from paytide.functions.rules import all_of, validation_rules
 from paytide.functions.scalars import flag
 
@@ -24,6 +27,25 @@ def validation_audit(df: DataFrame, rules: dict[str, Column] | None = None) -> D
     return df.agg(*audit_counters(rules))
 
 
+def conversion_audit(df: DataFrame, schema: StructType = s.TYPED) -> DataFrame:
+    """`(column_name, n_values, n_lost)` for every column of `schema`: values that are
+    there, and those of them that do not convert to the declared type. One pass over raw rows."""
+    have = {f.name: f.dataType for f in df.schema}
+    counters, lines = [], []
+    for f in schema:
+        value = F.col(f.name)
+        gone = value.isNotNull() & conform(value, have.get(f.name), f.dataType).isNull()
+        counters += [F.count(value).alias(f"{f.name}_n"), F.count_if(gone).alias(f"{f.name}_lost")]
+        lines.append(
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.col(f"{f.name}_n").alias("n_values"),
+                F.col(f"{f.name}_lost").alias("n_lost"),
+            )
+        )
+    return df.agg(*counters).select(F.inline(F.array(*lines)))
+
+
 def status_counts(df: DataFrame) -> DataFrame:
     """Rows per known status, most frequent first."""
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, MapType, StructType, VariantType
 
@@ -14,19 +14,47 @@ from paytide.functions.rules import all_of, validation_rules
 
 
 def enforce_schema(
-    df: DataFrame, schema: StructType = s.TYPED, *, date_from_event: bool = False
+    df: DataFrame,
+    schema: StructType = s.TYPED,
+    *,
+    date_from_event: bool = False,
+    keep_raw: str | None = None,
+    losses: Observation | None = None,
 ) -> DataFrame:
     """Give every column of `schema` its declared type, in place and in one projection.
 
     Values that do not convert become NULL. Columns outside the schema pass through.
     `txn_date` is the batch date as stored; `date_from_event` derives it from
     `txn_timestamp` instead.
+
+    `keep_raw` names a column to add: the text of all values a row lost, by column, or NULL
+    if it lost none. `losses` observes `lost_<column>`, the values each converted column
+    lost, counted by the job that consumes the frame instead of a job of its own.
     """
     have = {f.name: f.dataType for f in df.schema}
     typed = {f.name: conform(F.col(f.name), have.get(f.name), f.dataType) for f in schema}
-    if date_from_event:
-        typed["txn_date"] = F.to_date(typed["txn_timestamp"])
-    return df.withColumns(typed)
+    if keep_raw is None and losses is None:
+        if date_from_event:
+            typed["txn_date"] = F.to_date(typed["txn_timestamp"])
+        return df.withColumns(typed)
+    # Raw values travel beside the typed ones, so that each is converted once.
+    converted = [f.name for f in schema if have.get(f.name) != f.dataType]
+    raw = {name: f"_raw_{name}" for name in converted}
+    out = df.withColumns({raw[name]: F.col(name) for name in converted}).withColumns(typed)
+    lost = {name: F.col(raw[name]).isNotNull() & F.col(name).isNull() for name in converted}
+    if losses is not None:
+        counters = [F.count_if(gone).alias(f"lost_{name}") for name, gone in lost.items()]
+        out = out.observe(losses, *(counters or [F.lit(0).alias("lost")]))
+    if keep_raw is not None:
+        entries = [
+            F.when(gone, F.struct(F.lit(name).alias("column"), F.col(raw[name]).cast("string").alias("text")))
+            for name, gone in lost.items()
+        ]
+        held = F.filter(F.array(*entries), lambda e: e.isNotNull()) if entries else F.array()
+        kept = F.when(F.size(held) > 0, F.map_from_entries(held)) if entries else F.lit(None)
+        out = out.withColumn(keep_raw, kept.cast("map<string,string>"))
+    out = out.drop(*raw.values())
+    return out.withColumn("txn_date", F.to_date("txn_timestamp")) if date_from_event else out
 
 
 def drop_critical_nulls(

@@ -13,7 +13,9 @@ from paytide.operators.enrichment import enrich
 from paytide.sources.lake import read_bronze, write_silver
 
 
-def cleaned(bronze: DataFrame, *, date_from_event: bool = False) -> DataFrame:
+def cleaned(
+    bronze: DataFrame, *, date_from_event: bool = False, losses: Observation | None = None
+) -> DataFrame:
     """Typed, complete, unique rows: what validation gets to see.
 
     The order is part of the result. Rows missing a critical value are gone before
@@ -21,7 +23,7 @@ def cleaned(bronze: DataFrame, *, date_from_event: bool = False) -> DataFrame:
     id whose first copy breaks a rule does not come back through a later copy.
     """
     return (
-        bronze.transform(enforce_schema, date_from_event=date_from_event)
+        bronze.transform(enforce_schema, date_from_event=date_from_event, losses=losses)
         .transform(handle_nulls)
         .transform(deduplicate)
     )
@@ -49,7 +51,8 @@ def run_silver(
 ) -> dict[str, int]:
     """Rebuild Silver in one job and return its row counters.
 
-    Bronze is read and shuffled once; the counters ride along with the write. They are
+    Bronze is read and shuffled once; the counters (rows, values lost in conversion by
+    column, rows failing each rule) ride along with the write. They are
     log figures: a stage re-run after a lost executor may count its rows again. Use
     `validation_audit` where the numbers have to be exact.
 
@@ -61,14 +64,14 @@ def run_silver(
     if date_from_event and (since or until):
         # A late row would replace the whole of its event day with itself.
         raise ValueError("event days cannot be replaced from a range of batch days")
-    loaded, checked = Observation("bronze"), Observation("validation")
+    loaded, lost, checked = (Observation(x) for x in ("bronze", "conversion", "validation"))
     bronze = read_bronze(spark, bronze_path, since=since, until=until)
     rows = (
         bronze.observe(loaded, F.count(F.lit(1)).alias("bronze_rows"))
-        .transform(cleaned, date_from_event=date_from_event)
+        .transform(cleaned, date_from_event=date_from_event, losses=lost)
         .observe(checked, *audit_counters())
         .transform(validate)
         .transform(enrich)
     )
     write_silver(rows, silver_path, incremental=incremental)
-    return {**loaded.get, **checked.get, "silver_columns": len(rows.columns)}
+    return {**loaded.get, **lost.get, **checked.get, "silver_columns": len(rows.columns)}

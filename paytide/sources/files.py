@@ -30,6 +30,20 @@ def subfolders(spark: SparkSession, path: str, key: str) -> dict[str, str]:
     return found
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """All Parquet files below `path`, less those that Spark's readers skip."""
+    system, target = _opened(spark, path)
+    found, files = [], system.listFiles(target, True)
+    root = system.makeQualified(target).toString()
+    while files.hasNext():
+        file = files.next().getPath().toString()
+        below = file[len(root) :].strip("/").split("/")
+        hidden = any(part.startswith((".", "_")) for part in below)
+        if file.endswith(".parquet") and not hidden:
+            found.append(file)
+    return sorted(found)
+
+
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete folders with all they hold; missing ones do no harm."""
     for path in paths:

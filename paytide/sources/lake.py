@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Collection
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NullType, StringType, StructField, StructType
 
 from paytide import schema as s
 from paytide.functions.casting import conform
-from paytide.sources.files import remove, subfolders
+from paytide.sources.files import data_files, exists, remove, subfolders
 
 PARTITION = "txn_date"
 # What a folder is called that holds the rows without a day.
@@ -56,15 +59,90 @@ def drop_days(spark: SparkSession, path: str, days: Collection[date | str | None
     remove(spark, [folder for day, folder in folders.items() if day in wanted])
 
 
+def _extras_path(path: str) -> str:
+    # Not seen by readers of the table itself.
+    return f"{path.rstrip('/')}/_columns"
+
+
+def bronze_extras(spark: SparkSession, path: str) -> StructType:
+    """The undeclared columns a Bronze table has been given, with the type of each."""
+    if not exists(spark, _extras_path(path)):
+        return StructType()
+    listed = spark.read.schema("name string, type string").parquet(_extras_path(path))
+    # A column registered twice, by batches at the same time, has one type for all readers.
+    rows = listed.groupBy("name").agg(F.min("type").alias("type")).orderBy("name").collect()
+    return StructType([StructField.fromJson(json.loads(r["type"])) for r in rows])
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,
     *,
     since: date | str | None = None,
     until: date | str | None = None,
+    extras: bool = False,
 ) -> DataFrame:
-    """Raw transactions. `txn_date` is the batch date of the folder a file sits in."""
-    return _between(_read(spark, path, s.BRONZE), since, until)
+    """Raw transactions. `txn_date` is the batch date of the folder a file sits in.
+
+    `extras` adds the undeclared columns of all batches, NULL in batches without them.
+    """
+    schema = s.BRONZE
+    if extras:
+        schema = StructType(schema.fields + bronze_extras(spark, path).fields)
+    return _between(_read(spark, path, schema), since, until)
+
+
+def read_mixed(spark: SparkSession, path: str) -> DataFrame:
+    """Raw transactions of files that do not agree on their types, as the Bronze table has
+    them: e.g. from a writer that stores a column without any value as a number.
+
+    Each file's schema is read from its footer, files of equal schemas are scanned together,
+    and the scans are brought to the declared types; a declared column that a file lacks is
+    NULL. An undeclared column keeps its type, or becomes text where files differ. For
+    folders of arriving files, whose list and footers the driver can hold; `append_bronze`
+    the result to have a table of one schema.
+    """
+
+    def schema_of(file: str) -> str:
+        return spark.read.option("basePath", path).parquet(file).schema.json()
+
+    files = data_files(spark, path)
+    by_schema: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, schema in zip(files, pool.map(schema_of, files), strict=True):
+            by_schema.setdefault(schema, []).append(file)
+    if not by_schema:
+        return spark.createDataFrame([], s.BRONZE)
+    scans = [
+        spark.read.schema(StructType.fromJson(json.loads(schema))).option("basePath", path).parquet(*own)
+        for schema, own in by_schema.items()
+    ]
+    declared = {name.lower() for name in s.BRONZE.names}
+    types: dict[str, set] = {}
+    for scan in scans:
+        for f in scan.schema:
+            if f.name.lower() not in declared:
+                types.setdefault(f.name, set()).add(f.dataType)
+    parts = []
+    for scan in scans:
+        own = _conformed(scan)
+        for name, found in types.items():
+            kind = next(iter(found)) if len(found) == 1 else StringType()
+            value = F.col(f"`{name}`") if name in scan.columns else F.lit(None)
+            own[name] = value.cast(kind)
+        parts.append(scan.select([column.alias(name) for name, column in own.items()]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _conformed(df: DataFrame) -> dict[str, Column]:
+    """The declared Bronze columns of `df`, each in its declared type."""
+    have = {f.name.lower(): f for f in df.schema}
+    out = {}
+    for f in s.BRONZE:
+        found = have.get(f.name.lower())
+        value = F.lit(None) if found is None else F.col(f"`{found.name}`")
+        out[f.name] = conform(value, found.dataType, f.dataType) if found else value.cast(f.dataType)
+    return out
 
 
 def _by_day(df: DataFrame, compact: bool) -> DataFrame:
@@ -86,14 +164,30 @@ def append_bronze(
 ) -> None:
     """Add one batch to the Bronze table; earlier batches stay.
 
-    Every column is written with its declared type, also when it holds no value at all,
-    so that all files of the table agree; a value that does not fit becomes NULL and does
-    not fail the batch. `batch_date` files the whole batch under one
-    day; without it each row goes to the day in its own `txn_date`.
+    Every declared column is written with its declared type, also when it holds no value at
+    all or is missing, so that all files of the table agree; a value that does not fit
+    becomes NULL and does not fail the batch. Undeclared columns are stored too, in the type
+    the table first saw them with (see `bronze_extras`). `batch_date` files the whole batch
+    under one day; without it each row goes to the day in its own `txn_date`.
     """
-    out = df.select(
-        *[conform(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name) for f in s.BRONZE]
-    )
+    spark = df.sparkSession
+    columns = _conformed(df)
+    declared = {name.lower() for name in s.BRONZE.names}
+    undeclared = [f for f in df.schema if f.name.lower() not in declared]
+    if undeclared:
+        known = {f.name.lower(): f for f in bronze_extras(spark, path)}
+        new = []
+        for f in undeclared:
+            # A column without a type yet is stored as text.
+            kind = StringType() if isinstance(f.dataType, NullType) else f.dataType
+            target = known.get(f.name.lower()) or StructField(f.name, kind)
+            if f.name.lower() not in known:
+                new.append((target.name, json.dumps(target.jsonValue())))
+            columns[target.name] = conform(F.col(f"`{f.name}`"), f.dataType, target.dataType)
+        if new:
+            names = spark.createDataFrame(new, "name string, type string")
+            names.coalesce(1).write.mode("append").parquet(_extras_path(path))
+    out = df.select(*[column.alias(name) for name, column in columns.items()])
     if batch_date is not None:
         out = out.withColumn(PARTITION, F.lit(str(batch_date)))
     _by_day(out, compact).write.mode("append").partitionBy(PARTITION).parquet(path)

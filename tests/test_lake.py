@@ -193,3 +193,111 @@ class _Cluster:
 def test_a_cluster_without_shared_folder_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.shared_dir(_Cluster())
+
+
+# --- evolving Bronze ------------------------------------------------------------------
+
+
+def test_undeclared_columns_are_kept(bronze_rows, tmp_path, spark):
+    path = str(tmp_path / "bronze")
+    lake.append_bronze(bronze_rows({"txn_id": "1"}), path)
+    assert lake.read_bronze(spark, path, extras=True).columns == s.BRONZE.names
+    more = bronze_rows({"txn_id": "2"}).withColumns({"risk": F.lit(0.5), "a b": F.lit("x"), "nothing": F.lit(None)})
+    lake.append_bronze(more, path)
+    other = bronze_rows({"txn_id": "3"}).withColumns({"RISK": F.lit("0.25"), "risky": F.lit(7)})
+    lake.append_bronze(other, path)
+    unfit = bronze_rows({"txn_id": "4"}).withColumn("risk", F.lit("high"))
+    lake.append_bronze(unfit, path)
+    back = lake.read_bronze(spark, path, extras=True)
+    assert back.columns == [*s.BRONZE.names, "a b", "nothing", "risk", "risky"]
+    rows = {r.txn_id: (r["a b"], r.nothing, r.risk, r.risky) for r in back.collect()}
+    assert rows == {
+        "1": (None,) * 4, "2": ("x", None, 0.5, None), "3": (None, None, 0.25, 7), "4": (None,) * 4,
+    }
+    assert lake.read_bronze(spark, path).schema == s.BRONZE
+    assert "risk" in silver(back).columns
+
+
+def test_missing_columns_become_null(bronze_rows, tmp_path, spark):
+    path = str(tmp_path / "bronze")
+    lake.append_bronze(bronze_rows({"txn_id": "1"}).drop("merchant_name", "amount"), path)
+    row = lake.read_bronze(spark, path).first()
+    assert (row.txn_id, row.merchant_name, row.amount) == ("1", None, None)
+
+
+def test_files_that_do_not_agree(bronze_rows, tmp_path, spark):
+    landing, path = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    assert lake.read_mixed(spark, _made(landing)).count() == 0
+    plain = bronze_rows({"txn_id": "1"}, {"txn_id": "2", "txn_date": None})
+    empty = plain.withColumns({c: F.lit(None).cast("int") for c in ("failure_reason", "merchant_name", "note")})
+    failed = bronze_rows({"txn_id": "3", "status": "FAILED", "failure_reason": "No cover"}).withColumns(
+        {"note": F.lit("late"), "amount": F.col("amount").cast("string"), "score": F.lit(3)}
+    )
+    for df in (empty, failed.drop("device_type")):
+        df.write.mode("append").partitionBy("txn_date").parquet(landing)
+    with pytest.raises(Exception):  # what the plain scan makes of it
+        lake.read_bronze(spark, landing).collect()
+    mixed = lake.read_mixed(spark, landing)
+    assert mixed.columns == [*s.BRONZE.names, "note", "score"]
+    rows = {r.txn_id: (r.failure_reason, r.note, r.score, r.amount, r.txn_date, r.device_type) for r in mixed.collect()}
+    assert rows == {
+        "1": (None, None, None, 1500.0, "2026-03-21", "Android"),
+        "2": (None, None, None, 1500.0, None, "Android"),
+        "3": ("No cover", "late", 3, 1500.0, "2026-03-21", None),
+    }
+    lake.append_bronze(mixed, path)
+    assert lake.read_bronze(spark, path).count() == 3
+
+
+def _made(path):
+    os.makedirs(path)
+    return path
+
+
+# --- what conversion loses ------------------------------------------------------------
+
+
+def test_lost_values_are_counted_and_kept(spark, bronze_rows):
+    from pyspark.sql import Observation
+
+    from paytide.operators.cleansing import enforce_schema
+
+    texts = {
+        "amount": ["12.5", " 7 ", "n/a", "", None, "1e3"],
+        "txn_hour": ["13", "7.9", "noon", "99999999999", None, "-4."],
+        "is_anomaly": ["true", "F", "maybe", "2", None, "1"],
+        "txn_timestamp": ["2026-03-21 10:00:00", "2026-3-1 1:02:03", "x", "", None, "2026-13-01 00:00:00"],
+    }
+    rows = [{c: v[i] for c, v in texts.items()} for i in range(6)]
+    names = s.BRONZE.names
+    raw = spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], ", ".join(f"{c} string" for c in names))
+    lost = Observation("lost")
+    typed = enforce_schema(raw, keep_raw="raw_values", losses=lost)
+    assert typed.columns == [*names, "raw_values"]
+    got = typed.collect()
+    assert [r.amount for r in got] == [12.5, 7.0, None, None, None, 1000.0]
+    assert [r.txn_hour for r in got] == [13, 7, None, None, None, -4]
+    assert [r.is_anomaly for r in got] == [True, False, None, None, None, True]
+    assert [r.raw_values for r in got] == [
+        None,
+        None,
+        {"txn_timestamp": "x", "txn_hour": "noon", "amount": "n/a", "is_anomaly": "maybe"},
+        {"txn_timestamp": "", "txn_hour": "99999999999", "amount": "", "is_anomaly": "2"},
+        None,
+        {"txn_timestamp": "2026-13-01 00:00:00"},
+    ]
+    assert lost.get == {"lost_txn_timestamp": 3, "lost_txn_date": 0, "lost_txn_hour": 2, "lost_amount": 2, "lost_is_anomaly": 2}
+    from paytide.operators.audit import conversion_audit
+
+    audited = {r.column_name: (r.n_values, r.n_lost) for r in conversion_audit(raw).collect()}
+    assert audited["txn_timestamp"] == (5, 3) and audited["amount"] == (5, 2) and audited["txn_id"] == (0, 0)
+    assert list(audited) == names
+
+
+def test_silver_run_counts_lost_values(spark, bronze_rows, tmp_path):
+    from paytide.plans.silver import run_silver
+
+    bronze_path, silver_path = str(tmp_path / "b"), str(tmp_path / "s")
+    lake.append_bronze(bronze_rows({"txn_id": "1"}, {"txn_id": "2", "txn_timestamp": "x"}), bronze_path)
+    report = run_silver(spark, bronze_path, silver_path)
+    assert report["lost_txn_timestamp"] == 1 and report["lost_txn_hour"] == 0
