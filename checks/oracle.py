@@ -317,6 +317,9 @@ SQL = {
         from silver"""
     ),
     "pipeline_chain": over_stages("select * from banks"),
+    "pipeline_chain_hours": over_stages("select * from hourly"),
+    "pipeline_chain_merchants": over_stages("select * from merchants"),
+    "pipeline_chain_anomalies": over_stages("select * from anomalies"),
     "pipeline_incremental": over_stages("select * from hourly"),
     "pipeline_incremental_banks": over_stages("select * from banks"),
     "pipeline_incremental_merchants": over_stages("select * from merchants"),
@@ -329,6 +332,11 @@ SQL = {
     "warehouse_export": over_stages(_export("anomalies", GOLD_COLUMNS["anomalies"])),
     "warehouse_views": over_stages(_export("merchants", GOLD_COLUMNS["merchants"])),
     "warehouse_tables": over_stages(_export("banks", GOLD_COLUMNS["banks"])),
+    "warehouse_export_hours": over_stages(_export("hourly", GOLD_COLUMNS["hourly"])),
+    "warehouse_export_banks": over_stages(_export("banks", GOLD_COLUMNS["banks"])),
+    "warehouse_export_merchants": over_stages(_export("merchants", GOLD_COLUMNS["merchants"])),
+    "warehouse_hours": over_stages(_export("hourly", GOLD_COLUMNS["hourly"])),
+    "warehouse_anomalies": over_stages(_export("anomalies", GOLD_COLUMNS["anomalies"])),
     # Detection.
     "rule_flags": over_stages(
         "select txn_id, is_spike, is_night, is_round_amount, is_suspect from suspects"

@@ -372,12 +372,31 @@ def incremental_overwrite(spark, sf_dir):
     return _without_stamp(lake.read_silver(spark, path))
 
 
-@query
-def pipeline_chain(spark, sf_dir):
-    """Bronze append, Silver and Gold in one go, seen through the bank table."""
+def _chain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A Gold table after Bronze append, Silver and Gold in one go."""
     paths = Paths(*[scratch_path(spark, layer) for layer in ("bronze", "silver", "gold")])
     run_pipeline(spark, paths, batch=bronze(spark, sf_dir))
-    return _without_stamp(lake.read_gold_table(spark, paths.gold, "bank_failure_analysis"))
+    return _without_stamp(lake.read_gold_table(spark, paths.gold, name))
+
+
+@query
+def pipeline_chain(spark, sf_dir):
+    return _chain(spark, sf_dir, "bank_failure_analysis")
+
+
+@query
+def pipeline_chain_hours(spark, sf_dir):
+    return _chain(spark, sf_dir, "hourly_txn_summary")
+
+
+@query
+def pipeline_chain_merchants(spark, sf_dir):
+    return _chain(spark, sf_dir, "merchant_spend_analysis")
+
+
+@query
+def pipeline_chain_anomalies(spark, sf_dir):
+    return _chain(spark, sf_dir, "anomaly_summary")
 
 
 def _incremental_gold(spark: SparkSession, sf_dir: str) -> str:
@@ -446,26 +465,55 @@ def _warehouse_folder(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def _exported(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _without_stamp(spark.read.parquet(f"{_warehouse_folder(spark, sf_dir)}/{name}"))
+
+
 @query
 def warehouse_export(spark, sf_dir):
-    root = _warehouse_folder(spark, sf_dir)
-    return _without_stamp(spark.read.parquet(f"{root}/ANOMALY_SUMMARY"))
+    return _exported(spark, sf_dir, "ANOMALY_SUMMARY")
 
 
 @query
-def warehouse_views(spark, sf_dir):
-    """An exported table in presentation order."""
-    table = "MERCHANT_SPEND_ANALYSIS"
-    exported = spark.read.parquet(f"{_warehouse_folder(spark, sf_dir)}/{table}")
-    return _without_stamp(warehouse.present(exported, table))
+def warehouse_export_hours(spark, sf_dir):
+    return _exported(spark, sf_dir, "HOURLY_TXN_SUMMARY")
 
 
 @query
-def warehouse_tables(spark, sf_dir):
-    """The bank table through the session catalog."""
+def warehouse_export_banks(spark, sf_dir):
+    return _exported(spark, sf_dir, "BANK_FAILURE_ANALYSIS")
+
+
+@query
+def warehouse_export_merchants(spark, sf_dir):
+    return _exported(spark, sf_dir, "MERCHANT_SPEND_ANALYSIS")
+
+
+def _loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table through the session catalog, in presentation order."""
     tables = lake.read_gold_tables(spark, _gold_folder(spark, sf_dir))
     warehouse.export_to_catalog(tables, root=scratch_path(spark, "catalog"))
-    return _without_stamp(warehouse.load_data(spark)["BANK_FAILURE_ANALYSIS"])
+    return _without_stamp(warehouse.load_data(spark)[name])
+
+
+@query
+def warehouse_views(spark, sf_dir):
+    return _loaded(spark, sf_dir, "MERCHANT_SPEND_ANALYSIS")
+
+
+@query
+def warehouse_tables(spark, sf_dir):
+    return _loaded(spark, sf_dir, "BANK_FAILURE_ANALYSIS")
+
+
+@query
+def warehouse_hours(spark, sf_dir):
+    return _loaded(spark, sf_dir, "HOURLY_TXN_SUMMARY")
+
+
+@query
+def warehouse_anomalies(spark, sf_dir):
+    return _loaded(spark, sf_dir, "ANOMALY_SUMMARY")
 
 
 # --- Detection ------------------------------------------------------------------------
