@@ -21,19 +21,27 @@ from paytide.llm.queries import KEEP_FROM, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that are unlikely to be of the best grade."""
+    """Drops documents that are unlikely to be of the best grade.
+
+    A text without tokens (null, empty, blank) is judged by the base rates; long texts are
+    read whole; equal texts get equal answers. Columns of the classifier's own names pass
+    through like all others; an empty table stays empty.
+    """
     importable(spark)
     model = quality.fit(quality.graded(docs, table(spark, sf_dir, "labels")))
-    return (
-        quality.scored(docs, model)
-        .filter(F.col("tail_probability") >= KEEP_FROM)
-        .select(*docs.columns)
-    )
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    place = docs.columns.index("text")
+    judged = quality.scored(docs.toDF(*names), model, text_col=names[place])
+    return judged.filter(F.col("tail_probability") >= KEEP_FROM).select(*names).toDF(*docs.columns)
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of every group of near duplicates, that of the smallest id; rows are told
-    apart by a key of their own, so repeated and missing ids are compared too."""
+    apart by a key of their own, so repeated and missing ids are compared too.
+
+    Texts without words (null, empty, blank) are in no group and stay; of rows tied in their
+    id the first stored stays; long texts are read whole; an empty table stays empty.
+    """
     importable(spark)
     (key,) = fresh(docs, "row_key")
     keyed = staged(docs.withColumn(key, F.monotonically_increasing_id()))
@@ -48,22 +56,34 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item.
+
+    Documents are told by their texts, so a missing or shared id saves or costs none: all
+    rows of a leaking text go, and no other. Null and empty texts stay; long texts are read
+    whole; an empty table or benchmark changes nothing.
+    """
     importable(spark)
-    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    (key,) = fresh(docs, "text_key")
+    keyed = docs.withColumn(key, F.sha2("text", 256))
+    leaks = find_leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=key).select(F.col("doc_id").alias(key))
+    return keyed.join(leaks.distinct(), key, "left_anti").select(*docs.columns)
 
 
 def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps all documents; secrets in their texts give way to a mask."""
+    """Keeps all documents; secrets in their texts give way to a mask, and `n_chars`, where
+    there is one, follows. Null and empty texts stay as they are; rows are read one by one,
+    so ties and repeats do no harm; long texts are read whole; an empty table stays empty."""
     importable(spark)
     model = secrets.fit(secrets.labelled_findings(docs))
     clean = secrets.redact(docs, model)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into windows of 2048 tokens: one row per piece."""
+    """Packs what is left into windows of 2048 tokens: one row per piece. A null text counts
+    as empty; an empty table gives no pieces."""
     importable(spark)
     return pack(docs)
 
