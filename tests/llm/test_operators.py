@@ -255,6 +255,69 @@ def test_secrets(spark):
     assert secrets.find_secrets(docs.filter("false"), none).count() == 0
 
 
+def test_network_finds_what_the_rules_miss(spark):
+    """Secrets of shapes that no rule knows, beside names and words, after learning from
+    texts that hold findings of the rules only."""
+    importable(spark)
+    draw = random.Random(31)
+    words = ["".join(draw.choices("aeioulnrst", k=draw.randint(3, 14))) for _ in range(400)]
+
+    def of(signs, k):
+        return "".join(draw.choices(signs, k=k))
+
+    def prose(n):
+        return " ".join(draw.choices(words, k=n))
+
+    low = "abcdefghijklmnopqrstuvwxyz"
+    alnum = low + low.upper() + "0123456789"
+    known = [f'{prose(30)} token = "{draw.getrandbits(160):040x}" {prose(20)}' for _ in range(150)]
+    known += [f"{prose(20)} AKIA{of(alnum[26:], 16).upper()} {prose(9)}" for _ in range(50)]
+    known += [prose(60) for _ in range(400)]
+    train = staged(spark.createDataFrame(list(enumerate(known)), "doc_id long, text string"))
+    model = secrets.fit(secrets.labelled_findings(train))
+    assert secrets.charcnn.SLOPES[0] <= model.slope <= secrets.charcnn.SLOPES[1]
+    assert 0 < model.threshold < 1 and model.recall >= 0.95 and model.precision >= 0.9
+
+    planted = []
+    for i in range(200):
+        value = [
+            lambda: "ghp_" + of(alnum, 36),
+            lambda: of(low + low.upper(), 32),
+            lambda: "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(of(alnum + "+/", 64) for _ in range(4)),
+            lambda: of(alnum, 14) + "1",
+            lambda: of(alnum, 16) + "9!",
+        ][i % 5]()
+        shown = f"http://{of(low, 5)}:{value}@host.example" if i % 5 == 4 else value
+        planted.append((i, f"{prose(25)} {shown} {prose(15)}", value))
+    plain = [prose(20) + f" {draw.choice(words)}{draw.choice(words).title()}{draw.randrange(50)} " + prose(30) for _ in range(200)]
+    plain += [f"{prose(10)} {draw.choice(words)}-{draw.choice(words)}-{draw.randrange(2000)} {prose(10)}" for _ in range(100)]
+    plain += [f"{prose(9)} see https://host.example/{draw.choice(words)}/{draw.choice(words)}/{draw.randrange(9999)} {prose(9)}" for _ in range(100)]
+    rows = [(i, t) for i, t, _ in planted] + [(1000 + i, t) for i, t in enumerate(plain)]
+    docs = staged(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r for r in secrets.find_secrets(docs, model).collect()}
+    found = 0
+    for i, text, value in planted:
+        begin = text.index(value)
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[i].spans.split(",") if x.startswith("model:")]
+        found += any(s <= begin + 4 and e >= begin + len(value) - 4 for s, e in spans)
+    wrong = sum(r.n_model for i, r in got.items() if i >= 1000)
+    assert found >= 0.9 * len(planted)
+    assert found / (found + wrong) > 0.9
+
+
+def test_calibration_of_separable_logits():
+    from paytide.llm import charcnn
+
+    logit = np.concatenate([np.linspace(7, 30, 40), np.linspace(-20, -2, 900)])
+    y = np.array([1] * 40 + [0] * 900)
+    slope, offset = charcnn.calibrate(logit, y)
+    p = 1 / (1 + np.exp(-(slope * logit + offset)))
+    assert charcnn.SLOPES[0] <= slope <= charcnn.SLOPES[1] and p[:40].min() > 0.5 > p[40:].max()
+    threshold = charcnn.recall_threshold(p, y, 0.99)
+    assert (p >= threshold).sum() == 40
+    assert charcnn.calibrate(-logit, y) == (1.0, 0.0)
+
+
 def test_quality(spark):
     importable(spark)
     draw = random.Random(8)
