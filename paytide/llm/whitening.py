@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -197,7 +198,14 @@ def whitened(
         for i, (own, size) in enumerate(bands):
             yield _block_matrix(own, size, i * bands.size, centre, block_rows)
 
-    scatter = reduce(np.add, [_scatter(m) for m in matrices(fit)])
+    def kept(bands: Bands):
+        # A product asks for the blocks twice, first for their places only.
+        for m in matrices(bands):
+            m.persist(StorageLevel.MEMORY_AND_DISK)
+            yield m
+            m._java_matrix_wrapper._java_model.blocks().unpersist(True)
+
+    scatter = reduce(np.add, [_scatter(m) for m in kept(fit)])
     values, vectors = np.linalg.eigh(scatter / n)
     values, vectors = values[::-1], vectors[:, ::-1]
     # Rounding leaves eigenvalues of this size where there is no rank.
@@ -206,7 +214,7 @@ def whitened(
         return spark.createDataFrame([], out)
     weights = vectors[:, :k] / np.sqrt(values[:k])
     explained = (values[:k] / values.sum()).tolist()
-    covariance = reduce(np.add, [_scatter(_projected(spark, m, weights)) for m in matrices(fit)]) / n
+    covariance = reduce(np.add, [_scatter(_projected(spark, m, weights)) for m in kept(fit)]) / n
     error = float(np.abs(covariance - np.eye(k)).max())
 
     every = Bands(rows, block_rows, band)
