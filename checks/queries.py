@@ -27,6 +27,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def once(build: Callable[[SparkSession, str], str]) -> Callable[[SparkSession, str], str]:
+    """The folder `build` makes, made once per session and tables: several queries read it."""
+    made: dict[tuple[str, str], str] = {}
+
+    def folder(spark: SparkSession, sf_dir: str) -> str:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in made:
+            made[key] = build(spark, sf_dir)
+        return made[key]
+
+    return folder
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -319,6 +332,7 @@ def gold_roundtrip_anomalies(spark, sf_dir):
     return _stored_gold(spark, sf_dir, "anomaly_summary")
 
 
+@once
 def _gold_in_ranges(spark: SparkSession, sf_dir: str) -> str:
     """Gold of all days, first from a Silver that lacks some; then three ranges are rerun."""
     bronze_path, silver_path, root = (scratch_path(spark, x) for x in ("bronze", "silver", "gold"))
@@ -399,6 +413,7 @@ def pipeline_chain_anomalies(spark, sf_dir):
     return _chain(spark, sf_dir, "anomaly_summary")
 
 
+@once
 def _incremental_gold(spark: SparkSession, sf_dir: str) -> str:
     """Gold after three batches and three incremental runs; a fifth of a batch's rows, first
     and later copies alike, arrives with the next one."""

@@ -18,7 +18,7 @@ SLICE_SECONDS = 6 * 3600
 ZSCORE_LIMIT = 3.0
 IQR_FENCE = 1.5
 # Buckets of a key's distinct values, and the sketch's accuracy (an error of one in so many).
-BUCKETS = 128
+BUCKETS = 32
 SKETCH_ACCURACY = 2000
 FAILURE_ALERT_PCT = 10.0
 

@@ -47,13 +47,13 @@ def apply_change(spark: SparkSession, silver_path: str, change: Change) -> list[
     removed. Repeating a change changes nothing.
     """
     days = days_of(change.added.select(PARTITION).union(change.removed.select(PARTITION)))
-    entering = change.added.transform(validate).transform(enrich)
-    if stored_days(spark, silver_path):
-        stored = on_days(read_silver(spark, silver_path), days)
-        staying = stored.join(change.added.select(ID), ID, "left_anti").select(*stored.columns)
-        after = staged(staying.unionByName(entering))
-    else:
-        after = staged(entering.select(*s.SILVER.names))
+    entering = change.added.transform(validate).transform(enrich).select(*s.SILVER.names)
+    if not stored_days(spark, silver_path):
+        write_silver(entering, silver_path, incremental=True)
+        return days
+    stored = on_days(read_silver(spark, silver_path), days)
+    staying = stored.join(change.added.select(ID), ID, "left_anti").select(*stored.columns)
+    after = staged(staying.unionByName(entering))
     write_silver(after, silver_path, incremental=True)
     drop_days(spark, silver_path, set(days) - set(days_of(after)))
     return days

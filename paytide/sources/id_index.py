@@ -116,12 +116,13 @@ class IdIndex:
     def current(self, ids: DataFrame, without: str | None = None) -> DataFrame:
         """The copies that count of the given ids, as far as there are any; `without` leaves
         out a run."""
-        places = self.places(ids, without)
-        rows = self.copies(places.keys())
+        return self._counting(ids, self.places(ids, without))
+
+    def _counting(self, ids: DataFrame, places: dict[str, list[int]]) -> DataFrame:
         wanted = F.lit(False)
         for run, buckets in places.items():
             wanted = wanted | ((F.col("run") == run) & F.col("bucket").isin(*buckets))
-        known = rows.filter(wanted).select(*NAMES)
+        known = self.copies().filter(wanted).select(*NAMES)
         return known.join(ids.select(ID).distinct(), ID, "left_semi").select(*NAMES).transform(deduplicate)
 
     def absorb(self, rows: DataFrame, run: str) -> Change:
@@ -131,7 +132,10 @@ class IdIndex:
         the one that counts changes nothing, so rows taken in before may come again.
         """
         fresh = staged(rows.select(*NAMES).transform(deduplicate))
-        known = staged(self.current(fresh, without=run))
+        places = self.places(fresh, without=run)
+        if not places:
+            return Change(fresh, fresh.limit(0))
+        known = staged(self._counting(fresh, places))
         both = fresh.withColumn("_new", F.lit(True)).unionByName(known.withColumn("_new", F.lit(False)))
         # Last in the order of ties: of equal copies the known one stays.
         order = [*[c for c in NAMES if c not in (ID, TIME)], "_new"]
