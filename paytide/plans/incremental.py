@@ -84,9 +84,10 @@ def run_incremental(
     if batch is not None:
         append_bronze(batch, paths.bronze, batch_date)
         if days is None and not first:
-            days = [batch_date] if batch_date is not None else days_of(
-                batch.select(F.to_date(F.col(PARTITION).cast("string")).alias(PARTITION))
-            )
+            # Folders bear the day as the batch spells it.
+            days = [batch_date]
+            if batch_date is None and PARTITION in batch.columns:
+                days = days_of(batch.select(F.col(PARTITION).cast("string")))
     bronze = read_bronze(spark, paths.bronze)
     if not first:
         if days is None:

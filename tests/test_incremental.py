@@ -91,6 +91,17 @@ def test_a_day_that_loses_all_rows_goes(spark, bronze_rows, tmp_path):
     assert lake.read_gold_table(spark, paths.gold, GOLD[1]).count() == 0
 
 
+def test_days_that_are_no_dates(spark, bronze_rows, tmp_path):
+    paths = paths_below(tmp_path)
+    run_incremental(spark, paths, bronze_rows({"txn_id": "a"}))
+    run_incremental(spark, paths, bronze_rows({"txn_id": "b", "txn_date": "21/03"}, {"txn_id": "c", "txn_date": "2026-3-2"}))
+    run_incremental(spark, paths, bronze_rows({"txn_id": "d"}).drop("txn_date"))
+    rebuilt = Paths(paths.bronze, str(tmp_path / "silver2"), str(tmp_path / "gold2"))
+    run_pipeline(spark, rebuilt)
+    assert_same(spark, paths, rebuilt)
+    assert lake.read_silver(spark, paths.silver).count() == 4
+
+
 def test_other_days_are_not_read(spark, bronze_rows, tmp_path):
     paths = paths_below(tmp_path)
 
