@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from paytide.llm import licenses, quality, secrets
+from paytide.llm import licenses, quality, secrets, vectors
 from paytide.llm.components import connected_components
 from paytide.llm.decontaminate import common_subsequence, find_leaks
 from paytide.llm.frames import importable, scratch_path, staged
@@ -197,6 +197,59 @@ def test_vectors_equal_brute_force(spark):
     assert near_duplicate_vectors(staged(df.filter("false"))).count() == 0
 
 
+def test_vectors_of_clusters_equal_brute_force(spark, monkeypatch):
+    """Clusters whose cosines lie around the threshold, in buckets of several blocks."""
+    importable(spark)
+    monkeypatch.setattr(vectors, "BLOCK", 48)
+    draw = np.random.default_rng(11)
+    base = np.repeat(draw.normal(size=(3, 32)), [300, 100, 60], axis=0)
+    x = base + 0.32 * draw.normal(size=base.shape)
+    x = np.concatenate([x, x[:5], x[:1], draw.normal(size=(200, 32))]).astype(np.float32)
+    ids = list(range(len(x)))
+    rows = [(i, v.tolist()) for i, v in zip(ids, x, strict=True)]
+    rows += [rows[0], (0, x[500].tolist()), (None, x[0].tolist())]  # repeated and null ids
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = near_duplicate_vectors(staged(df)).collect()
+    assert len(got) == len(rows)
+    unit = x.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    of = np.append(np.arange(len(x)), [500])  # the last vector stands for id 0 as well
+    ids.append(0)
+    linked = unit[of] @ unit[of].T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert 10_000 < linked.sum() < 0.8 * (300**2 + 100**2 + 60**2)
+    component = np.array(ids)
+    while True:
+        low = np.minimum(component, np.where(linked, component, len(x)).min(axis=1))
+        if (low == component).all():
+            break
+        component = low
+    want = [(i, int(n), c, i == c) for i, n, c in zip(ids, linked.sum(axis=1), component.tolist(), strict=True)]
+    assert sorted(map(tuple, (r for r in got if r.vec_id is not None))) == sorted([*want, want[0]])
+    assert [tuple(r) for r in got if r.vec_id is None] == [(None, 0, None, True)]
+
+
+def test_vector_buckets_stay_level():
+    for n in (10, 500, 3_000, 10_256, 51_282, 300_000, 1_000_000):
+        parts, last, tables = vectors.plan(n, 64, 0.9, 1e-3, 7)
+        held = 128 ** (parts - 1) * 2 * last
+        assert held >= n / 1.5 and tables >= 1
+    # A low threshold takes as many tables as its hits ask for.
+    assert vectors.plan(1_000_000, 64, 0.5, 1e-3, 7)[2] > 342
+
+
+def test_whole_groups_over_batches():
+    values = np.repeat(np.arange(9), [1, 5, 2, 40, 1, 1, 7, 3, 4])
+    batches = [pa.RecordBatch.from_arrays([pa.array(values[i : i + 6])], names=["k"]) for i in range(0, len(values), 6)]
+    seen = []
+    for table, starts in vectors.whole_groups(iter(batches), ["k"], 8):
+        k = table["k"].to_numpy()
+        assert k[starts].tolist() == np.unique(k).tolist()
+        assert len(k) <= 8 or len(starts) == 1
+        seen += k.tolist()
+    assert seen == values.tolist()
+
+
 def test_warc_round_trip(spark):
     importable(spark)
     html = ["<p>ä</p>", None, "", "same", "same", "x" * 300_000, "\r\n\r\n"]
