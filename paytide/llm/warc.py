@@ -5,7 +5,8 @@ record is a gzip member of its own, and a file is closed when it has reached a c
 size. Headers, digests and record ids are made anew from the page, so the same table gives
 the same bytes. Tasks write under temporary names only; their manifest is committed by
 Spark with the tasks that succeeded, and then each file it lists is renamed. A reader
-follows the manifest, so files of lost or repeated attempts never count.
+follows the manifest, so files of lost or repeated attempts never count. A driver lost
+between the manifest and the last rename leaves an archive that `finish_archive` completes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,12 @@ from paytide.llm.frames import narrowed, staged
 
 _NAMESPACE = uuid.UUID("6f1d7c50-5f0a-4b5e-9d52-7a1f0b8f2c11")
 _PLAIN = "%/:=&?~#+!$,;'@()*[]"
-_CHUNK = 1 << 20
+#: Bytes given to the inflater at once: what follows a record is copied once a record.
+_CHUNK = 1 << 15
+#: Bytes read from the store at once.
+_BUFFER = 1 << 20
+#: Tasks that write shards; more shards than that share tasks.
+_WRITERS = 100_000
 
 
 def _open(path: str):
@@ -229,12 +235,22 @@ def write_archive(
     store.create_dir(f"{root}/_temporary", recursive=True)
     written = (
         both.mapInArrow(shard, f"{columns}, shard long")
-        .repartition("shard")
+        .repartition(min(shards, _WRITERS), "shard")
         .sortWithinPartitions("shard", "id", "sha", "kind")
         .mapInArrow(write, "temporary string, file string, records long, bytes long")
     )
     # Spark commits this table with the rows of successful attempts only.
     written.write.parquet(f"{target}/_manifest")
+    return finish_archive(spark, target)
+
+
+def finish_archive(spark: SparkSession, path: str) -> DataFrame:
+    """Give the files of a committed manifest their names; returns the manifest.
+
+    Part of `write_archive`, and safe to call again at any time after the manifest is
+    written: files that have their names already stay as they are.
+    """
+    target = path.rstrip("/")
     listed = spark.read.parquet(f"{target}/_manifest")
 
     def rename(batches):
@@ -247,7 +263,9 @@ def write_archive(
             yield batch.select(["file"])
 
     listed.mapInArrow(rename, "file string").agg(F.count("file")).first()
-    store.delete_dir(f"{root}/_temporary")
+    store, root = _open(target)
+    if store.get_file_info(f"{root}/_temporary").type.name != "NotFound":
+        store.delete_dir(f"{root}/_temporary")
     return listed.select("file", "records", "bytes")
 
 
@@ -292,7 +310,7 @@ def read_archive(spark: SparkSession, path: str, with_payload: bool = False) ->
             store, root = _open(target)
             for name in batch["file"].to_pylist():
                 rows, held = [], 0
-                with store.open_input_stream(f"{root}/{name}", compression=None) as stream:
+                with store.open_input_stream(f"{root}/{name}", compression=None, buffer_size=_BUFFER) as stream:
                     for head, block in _records(stream):
                         if head["WARC-Type"] == "warcinfo":
                             continue

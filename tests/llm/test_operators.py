@@ -3,6 +3,7 @@ repeated rows, empty tables, extra columns of clashing names."""
 
 import base64
 import hashlib
+import os
 import random
 import re
 
@@ -19,7 +20,7 @@ from paytide.llm.packing import pack
 from paytide.llm.shards import communication_matrix, hypergeometric, uniform_shards
 from paytide.llm.tokens import encoded_slices, token_counts
 from paytide.llm.vectors import near_duplicate_vectors
-from paytide.llm.warc import read_archive, write_archive
+from paytide.llm.warc import finish_archive, read_archive, write_archive
 
 AWKWARD = [None, "", "  \n\t ", "one", "one two three four", "É ñ 漢字  x", "a b c d e " * 3000]
 
@@ -268,6 +269,15 @@ def test_warc_round_trip(spark):
         assert (r.record_type, r.refers_to) == (("response", None) if low == i else ("revisit", low))
         assert low != i or bytes(r.payload) == payload
     assert got[None].record_type == "response"
+    # A driver lost before the last renames: the archive is completed, and completed again.
+    left = spark.read.parquet(f"{paths[1]}/_manifest").first()
+    os.makedirs(f"{paths[1]}/_temporary")
+    os.rename(f"{paths[1]}/{left.file}", f"{paths[1]}/{left.temporary}")
+    for _ in range(2):
+        assert sorted(finish_archive(spark, paths[1]).collect()) == sorted(listed[1])
+        assert sorted(map(tuple, read_archive(spark, paths[1]).fillna(-1).collect())) == sorted(
+            map(tuple, read_archive(spark, paths[0]).fillna(-1).collect())
+        )
     path = scratch_path(spark, "warc")
     write_archive(staged(pages.filter("false")), path)
     assert read_archive(spark, path).count() == 0
