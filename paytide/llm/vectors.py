@@ -65,32 +65,31 @@ class Buckets:
         draw = np.random.default_rng([seed, dim])
         self.signs = draw.choice([-1.0, 1.0], (tables, parts, 3, self.width))
 
-    def entries(self, unit: np.ndarray) -> np.ndarray:
-        """Bucket keys, `(n, tables, parts + 1)`: the home bucket first."""
+    def of_table(self, unit: np.ndarray, table: int) -> np.ndarray:
+        """Bucket keys in one table, `(n, parts + 1)`: the home bucket first."""
         n = len(unit)
         x = np.zeros((n, self.width))
         x[:, : self.dim] = unit
-        out = np.empty((n, self.tables, self.parts + 1), np.int64)
         row = np.arange(n)
         scale = (2 * self.width) ** np.arange(self.parts)
-        for t in range(self.tables):
-            best = np.empty((n, self.parts), np.int64)
-            second = np.empty((n, self.parts), np.int64)
-            for p, axes in enumerate(self.axes):
-                y = x
-                for signs in self.signs[t, p]:
-                    y = hadamard(y * signs)
-                size = np.abs(y[:, :axes])
-                at = size.argmax(axis=1)
-                best[:, p] = 2 * at + (y[row, at] < 0)
-                size[row, at] = -1
-                at = size.argmax(axis=1)
-                second[:, p] = 2 * at + (y[row, at] < 0)
-            home = (best * scale).sum(axis=1)
-            out[:, t, 0] = home
-            for p in range(self.parts):
-                out[:, t, p + 1] = home + (second[:, p] - best[:, p]) * scale[p]
-        return out
+        best = np.empty((n, self.parts), np.int64)
+        second = np.empty((n, self.parts), np.int64)
+        for p, axes in enumerate(self.axes):
+            y = x
+            for signs in self.signs[table, p]:
+                y = hadamard(y * signs)
+            size = np.abs(y[:, :axes])
+            at = size.argmax(axis=1)
+            best[:, p] = 2 * at + (y[row, at] < 0)
+            size[row, at] = -1
+            at = size.argmax(axis=1)
+            second[:, p] = 2 * at + (y[row, at] < 0)
+        home = (best * scale).sum(axis=1)
+        return np.column_stack([home, home[:, None] + (second - best) * scale])
+
+    def entries(self, unit: np.ndarray) -> np.ndarray:
+        """Bucket keys in all tables, `(n, tables, parts + 1)`."""
+        return np.stack([self.of_table(unit, t) for t in range(self.tables)], axis=1)
 
 
 @lru_cache(maxsize=8)
@@ -205,19 +204,22 @@ def _alike(unit, starts, part, same, threshold):
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def _first_meeting(x, y, entry, place, table, bucket) -> np.ndarray:
+def _first_meeting(x, y, unit, own: Buckets, table, bucket) -> np.ndarray:
     """Whether the bucket a pair was found in is the first that its vectors share.
 
-    `entry` holds the buckets of the vectors, `place` where a row has its own among them.
+    Tables are taken in turn and only for the vectors of pairs that are still open: most
+    pairs that met before did so in one of the first.
     """
     first = np.ones(len(x), bool)
-    for lo in range(0, len(x), 1 << 16):
-        at = np.arange(lo, min(lo + (1 << 16), len(x)))
-        for before in range(int(table[x[at]].max()) + 1):
-            at = at[first[at] & (table[x[at]] >= before)]
-            if not len(at):
-                break
-            p, q = entry[place[x[at]], before], entry[place[y[at]], before]
+    for before in range(int(table[x].max()) + 1):
+        still = np.flatnonzero(first & (table[x] >= before))
+        used = np.unique(np.concatenate([x[still], y[still]]))
+        place = np.zeros(len(unit), np.int64)
+        place[used] = np.arange(len(used))
+        keys = own.of_table(unit[used], before) if len(used) else None
+        for lo in range(0, len(still), 1 << 16):
+            at = still[lo : lo + (1 << 16)]
+            p, q = keys[place[x[at]]], keys[place[y[at]]]
             # In the table the pair was found in, only smaller buckets come first.
             earlier = (table[x[at]] > before)[:, None] | (p < bucket[x[at]][:, None])
             met = (p[:, :, None] == q[:, None, :]) & earlier[:, :, None]
@@ -341,11 +343,8 @@ def near_duplicate_vectors(
         x, y = _alike(unit, starts, part, i == j, threshold)
         if not len(x):
             return None
-        used = np.unique(np.concatenate([x, y]))
-        place = np.zeros(len(ids), np.int64)
-        place[used] = np.arange(len(used))
-        entry = buckets(dim, parts, last, tables, seed).entries(unit[used])
-        first = _first_meeting(x, y, entry, place, t, bucket)
+        own = buckets(dim, parts, last, tables, seed)
+        first = _first_meeting(x, y, unit, own, t, bucket)
         x, y = x[first], y[first]
         if not len(x):
             return None
