@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 
 from paytide.llm.frames import fresh, without
 
+#: Tasks of the second permutation: one for a few blocks, up to as many as Spark lists well.
+_BLOCKS_PER_TASK, _TASKS = 4, 100_000
 #: Above this population numpy's sampler does not apply.
 _LARGE = 900_000_000
 
@@ -153,7 +155,13 @@ def uniform_shards(
         .select("shard", block, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(offset))
     )
     place = F.row_number().over(Window.partitionBy("shard", block).orderBy(key))
-    placed = df.mapInArrow(label, schema).withColumn("slot", place.cast("long") - 1)
+    # The number of tasks follows the rows, not the session's setting: a few blocks each.
+    tasks = min(_TASKS, math.ceil(shards * blocks / _BLOCKS_PER_TASK))
+    placed = (
+        df.mapInArrow(label, schema)
+        .repartition(tasks, "shard", block)
+        .withColumn("slot", place.cast("long") - 1)
+    )
     return (
         placed.join(offsets, ["shard", block])
         .withColumn("slot", F.col("slot") + F.col(offset))
