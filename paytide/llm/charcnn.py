@@ -102,20 +102,34 @@ def _gradients(w: dict, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def train(x: np.ndarray, y: np.ndarray, seed: int, steps: int = 300, batch: int = 128) -> dict:
+#: Adam steps of a training, at the least.
+STEPS = 300
+
+
+def train(x: np.ndarray, y: np.ndarray, seed: int, steps: int = STEPS, batch: int = 128) -> dict:
     """Weights after `steps` Adam steps on balanced batches of labelled windows."""
-    w = start_weights(seed)
+    return adam(x, y, seed, steps, batch, start_weights(seed))[0]
+
+
+def adam(x: np.ndarray, y: np.ndarray, seed: int, steps: int, batch: int, w: dict, moments=None, done: int = 0, drawn=None):
+    """Weights, Adam's moments and the state of the draws after `steps` more steps on
+    balanced batches, from weights `w`, `moments`, `done` steps before and draws in state
+    `drawn`. A set of one label gives batches of it."""
+    w = {k: v.copy() for k, v in w.items()}
     draw = np.random.default_rng(seed + 1)
+    if drawn is not None:
+        draw.bit_generator.state = drawn
     yes, no = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    mean = {k: np.zeros_like(v) for k, v in w.items()}
-    square = {k: np.zeros_like(v) for k, v in w.items()}
-    for step in range(1, steps + 1):
+    yes, no = (yes if len(yes) else no), (no if len(no) else yes)
+    mean, square = moments or ({k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()})
+    mean, square = {k: v.copy() for k, v in mean.items()}, {k: v.copy() for k, v in square.items()}
+    for step in range(done + 1, done + steps + 1):
         at = np.concatenate([draw.choice(yes, batch // 2), draw.choice(no, batch // 2)])
         for k, g in _gradients(w, x[at], y[at]).items():
             mean[k] += 0.1 * (g - mean[k])
             square[k] += 0.001 * (g * g - square[k])
             w[k] -= 0.01 * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
-    return w
+    return w, (mean, square), draw.bit_generator.state
 
 
 #: Slopes a calibration may have; beyond them it says nothing about the logits.

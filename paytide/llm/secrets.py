@@ -272,23 +272,11 @@ class Model:
     """A trained network, its calibration and its threshold. Without labelled findings of
     both kinds there is no network and nothing is added."""
 
-    def __init__(self, windows: list[bytes], labels: list[int], recall: float, seed: int):
-        x = np.frombuffer(b"".join(windows), np.uint8).reshape(len(windows), charcnn.WIDTH)
-        y = np.array(labels)
-        self.weights, self.threshold = None, float("inf")
-        if min((y == 1).sum(), (y == 0).sum()) < 8:
-            return
-        held = np.zeros(len(y), bool)
-        for label in (0, 1):
-            held[np.flatnonzero(y == label)[::4]] = True
-        self.weights = charcnn.train(x[~held].astype(np.int64), y[~held], seed)
-        logit = charcnn.logits(self.weights, x[held].astype(np.int64))
-        self.slope, self.offset = charcnn.calibrate(logit, y[held])
-        p = self._scaled(logit)
-        self.threshold = charcnn.recall_threshold(p, y[held], recall)
-        sure = p >= self.threshold
-        self.recall = float(sure[y[held] == 1].mean())
-        self.precision = float((y[held][sure] == 1).mean())
+    def __init__(self, weights=None, slope=1.0, offset=0.0, threshold=float("inf"), recall=0.0, precision=0.0, counts=None):
+        self.weights, self.slope, self.offset = weights, slope, offset
+        self.threshold, self.recall, self.precision = threshold, recall, precision
+        #: Distinct findings by (label, held out), all of which the model was fitted on.
+        self.counts = counts or {}
 
     def _scaled(self, logit: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * logit + self.offset, -30, 30)))
@@ -300,17 +288,171 @@ class Model:
         return self._scaled(charcnn.logits(self.weights, x.astype(np.int64)))
 
 
-def fit(
-    findings: DataFrame, sample: int = 2048, recall: float = 0.99, seed: int = 5
-) -> Model:
-    """Fit on at most `sample` findings of each label, those of the smallest hash."""
-    findings = staged(findings)
-    rows: list = []
-    for label in (0, 1):
-        chosen = findings.filter(F.col("label") == label).select("window").distinct()
-        order = F.xxhash64("window")
-        rows += [(r["window"], label) for r in chosen.orderBy(order, "window").limit(sample).collect()]
-    return Model([bytes(w) for w, _ in rows], [label for _, label in rows], recall, seed)
+#: Findings a training task holds, rounds of averaging, and the least Adam steps of a task
+#: in a round; a task takes at least as many as cover its larger label once.
+PART_ROWS, ROUNDS, BATCH = 50_000, 6, 128
+
+
+def _arrays(rows) -> tuple[np.ndarray, np.ndarray]:
+    rows = [(bytes(r["window"]), r["label"]) for r in sorted(rows, key=lambda r: r["rank"])]
+    x = np.frombuffer(b"".join(w for w, _ in rows), np.uint8).reshape(len(rows), charcnn.WIDTH)
+    return x.astype(np.int64), np.array([label for _, label in rows], np.int64)
+
+
+def _sum(rdd, part) -> np.ndarray:
+    """The sum over partitions of numpy vectors that `part` makes of their rows; one
+    vector a partition comes back."""
+    return np.sum(rdd.mapPartitions(lambda rows: [part(list(rows))]).collect(), axis=0)
+
+
+def fit(findings: DataFrame, recall: float = 0.99, seed: int = 5) -> Model:
+    """Fit on all distinct findings of each label; every fourth of a label in order of hash
+    is held out for calibration and the threshold. Tasks train on their own findings from the same weights,
+    one round after another, and their weights are averaged by rows; sums, not rows, come
+    back to the driver."""
+    rows = findings.select("window", "label").distinct()
+    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if min(n.get(0, 0), n.get(1, 0)) < 8:
+        return Model()
+    # Findings in order of label, hash and bytes, by a distributed sort; of each label every
+    # fourth from its first is held out.
+    keyed = rows.select("label", F.xxhash64("window").alias("hash"), "window").rdd.map(
+        lambda r: ((r["label"], r["hash"], bytes(r["window"])), None)
+    )
+    ranked = keyed.sortByKey().keys().zipWithIndex().map(
+        lambda r: (r[0][2], r[0][0], r[1], (r[1] - (n[0] if r[0][0] else 0)) % 4 == 0)
+    )
+    ordered = staged(findings.sparkSession.createDataFrame(ranked, "window binary, label int, rank long, held boolean"))
+    counts = {(r["label"], r["held"]): r["count"] for r in ordered.groupBy("label", "held").count().collect()}
+    n_train = sum(k for (_, h), k in counts.items() if not h)
+    parts = max(1, -(-n_train // PART_ROWS))
+    train = staged(ordered.filter(~F.col("held")).repartitionByRange(parts, "rank"))
+    spark = findings.sparkSession
+    w = charcnn.start_weights(seed)
+    keys = sorted(w)
+    moments, done, draws = None, 0, {}
+    # Weights and Adam's moments are averaged by rows after each round; the steps of a round
+    # are those of its busiest task.
+    for step in range(ROUNDS):
+        shared = spark.sparkContext.broadcast((w, moments, done, draws))
+
+        def trained(index, part, shared=shared, step=step):
+            x, y = _arrays(part)
+            size = sum(3 * w[k].size for k in keys)
+            if not len(y):
+                return [(index, None, np.zeros(2 + size))]
+            steps = max(charcnn.STEPS // ROUNDS, -(-max((y == 1).sum(), (y == 0).sum()) // (BATCH // 2)))
+            start, held_moments, before, states = shared.value
+            got, (mean, square), state = charcnn.adam(
+                x, y, seed + 7919 * index, steps, BATCH, start, held_moments, before, states.get(index)
+            )
+            parts = [got[k].ravel() for k in keys] + [mean[k].ravel() for k in keys] + [square[k].ravel() for k in keys]
+            return [(index, state, np.concatenate([[len(y), 0], *[len(y) * v for v in parts]]))]
+
+        def busiest(part):
+            y = np.array([r["label"] for r in part])
+            return [max(charcnn.STEPS // ROUNDS, -(-max((y == 1).sum(), (y == 0).sum()) // (BATCH // 2)))]
+
+        got = train.rdd.mapPartitionsWithIndex(trained).collect()
+        total = np.sum([v for _, _, v in got], axis=0)
+        draws = {i: state for i, state, _ in got if state is not None}
+        steps = max(train.select("label").rdd.mapPartitions(lambda rows: busiest(list(rows))).collect())
+        shared.destroy()
+        flat, at = total[2:] / total[0], 0
+        mean, square = {}, {}
+        for table in (w, mean, square):
+            for k in keys:
+                size = w[k].size
+                table[k] = flat[at : at + size].reshape(w[k].shape)
+                at += size
+        moments, done = (mean, square), done + steps
+    shared = spark.sparkContext.broadcast(w)
+
+    def scored(batches):
+        for batch in batches:
+            x = np.frombuffer(b"".join(batch["window"].to_pylist()), np.uint8).reshape(batch.num_rows, charcnn.WIDTH)
+            logit = charcnn.logits(shared.value, x.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(logit, pa.float64()), batch["label"]], names=["logit", "label"])
+
+    judged = staged(ordered.filter("held").select("window", "label").mapInArrow(scored, "logit double, label int")).rdd
+    slope, offset = _calibrated(judged, counts.get((1, True), 0), counts.get((0, True), 0))
+    return _thresholded(judged, Model(w, slope, offset, counts=counts), recall)
+
+
+def _calibrated(judged, pos: int, neg: int) -> tuple[float, float]:
+    """`charcnn.calibrate` on the held findings, its sums taken by Spark: one pass gives the
+    gradient and Hessian, one the losses of all the steps of the line search."""
+    rates = [0.5**k for k in range(21) if 0.5**k > 1e-6]
+
+    def part_of(a: float, b: float, trials: list[tuple[float, float]]):
+        def part(rows):
+            z = np.array([r["logit"] for r in rows], float)
+            y = np.array([r["label"] for r in rows])
+            t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
+            p = 1 / (1 + np.exp(-np.clip(a * z + b, -500, 500)))
+            v = p * (1 - p)
+            sums = [((p - t) * z).sum(), (p - t).sum(), (v * z * z).sum(), (v * z).sum(), v.sum()]
+            losses = [(np.logaddexp(0, ta * z + tb) - t * (ta * z + tb)).sum() for ta, tb in trials]
+            return np.array(sums + losses, float)
+
+        return part
+
+    a, b = 1.0, 0.0
+    for _ in range(100):
+        s = _sum(judged, part_of(a, b, [(a, b)]))
+        g = np.array([s[0] + 1e-3 * a, s[1]])
+        h = np.array([[s[2] + 1e-3, s[3]], [s[3], s[4]]])
+        step = np.linalg.solve(h + 1e-6 * np.eye(2), g)
+        now = s[5] + 5e-4 * a * a
+        trials = [(a - r * step[0], b - r * step[1]) for r in rates]
+        losses = _sum(judged, part_of(a, b, trials))[5:] + [5e-4 * ta * ta for ta, _ in trials]
+        better = [i for i, x in enumerate(losses) if x < now]
+        if not better:
+            break
+        a, b = trials[better[0]]
+    if not a > 0:
+        return 1.0, 0.0
+    return float(np.clip(a, *charcnn.SLOPES)), float(b)
+
+
+def _thresholded(judged, model: Model, recall: float) -> Model:
+    """`charcnn.recall_threshold` on the held findings by a distributed sort: the
+    probability that keeps `recall` of the positives at the best precision."""
+    p = judged.map(lambda r: (float(model._scaled(np.array([r["logit"]]))[0]), int(r["label"]))).cache()
+    positives = p.filter(lambda r: r[1] == 1).map(lambda r: r[0])
+    n = positives.count()
+    if not n:
+        return model
+    k = int(np.floor((1 - recall) * n))
+    highest = positives.sortBy(lambda v: v).zipWithIndex().filter(lambda r: r[1] == k).first()[0]
+    # Rows at or above each probability, from the top: sums of the partitions before, then within.
+    levels = p.map(lambda r: (r[0], (r[1], 1))).reduceByKey(lambda u, v: (u[0] + v[0], u[1] + v[1]))
+    ordered = levels.sortByKey(ascending=False).cache()
+    def total(i, rows):
+        out = np.zeros(2)
+        for _, c in rows:
+            out += c
+        return [(i, out)]
+
+    before, run = {}, np.zeros(2)
+    for i, t in sorted(ordered.mapPartitionsWithIndex(total).collect(), key=lambda x: x[0]):
+        before[i], run = run.copy(), run + t
+
+    def precisions(i, rows):
+        run = before[i].copy()
+        for value, c in rows:
+            run = run + c
+            if value <= highest:
+                yield value, float(run[0] / run[1])
+
+    options = ordered.mapPartitionsWithIndex(precisions).cache()
+    best = options.map(lambda r: r[1]).max()
+    model.threshold = options.filter(lambda r: r[1] >= best - 1e-12).map(lambda r: r[0]).max()
+    s = p.map(lambda r: np.array([r[1] == 1 and r[0] >= model.threshold, r[0] >= model.threshold, r[1] == 1], float)).treeReduce(np.add)
+    model.recall, model.precision = float(s[0] / s[2]), float(s[0] / s[1]) if s[1] else 0.0
+    for cached in (p, ordered, options):
+        cached.unpersist()
+    return model
 
 
 def _judged(model: Model, found: list[tuple[str, list]]) -> list[tuple[list, int]]:

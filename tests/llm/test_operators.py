@@ -500,3 +500,20 @@ def test_licenses(spark):
         (5, None, None),
     ]
     assert licenses.license_scan(df.filter("false")).count() == 0
+
+
+def test_secrets_fit_takes_every_finding(spark):
+    """More distinct findings of each label than the 2,048 of a sample: all are fitted on,
+    every fourth of a label held out."""
+    importable(spark)
+    draw = random.Random(12)
+    texts = [f"key {draw.getrandbits(128):032x} here" for _ in range(2100)]
+    texts += [f"plain {''.join(draw.choices('abcdefghij', k=12))} word" for _ in range(2100)]
+    rows = [(secrets.charcnn.window(t, 4, 4 + (32 if i < 2100 else 18)), int(i < 2100)) for i, t in enumerate(texts)]
+    findings = spark.createDataFrame(rows, "window binary, label int")
+    distinct = {label: len({w for w, y in rows if y == label}) for label in (0, 1)}
+    model = secrets.fit(findings)
+    for label in (0, 1):
+        assert model.counts[(label, False)] + model.counts[(label, True)] == distinct[label] > 2048
+        assert model.counts[(label, True)] == -(-distinct[label] // 4)
+    assert model.weights is not None and model.recall >= 0.99
