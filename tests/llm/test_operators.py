@@ -7,6 +7,7 @@ import os
 import random
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -502,6 +503,23 @@ def test_licenses(spark):
     assert licenses.license_scan(df.filter("false")).count() == 0
 
 
+def test_licenses_dotted_capital_i_follows_the_sql(spark, tmp_path):
+    rows = [
+        (1, "a/LICENSE", "RELEASED UNDER THE M\u0130T L\u0130CENSE"),
+        (2, "a/code", "L\u0130CENSED UNDER CC BY-NC 4.0\nmuch else"),
+        (3, "b/code", "nothing of note"),
+        (4, "b/none", ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    n, counts = licenses._frequencies(df.select("text"), ["license", "mit", "under"])
+    assert (n, counts) == (4, {"license": 1, "mit": 1, "under": 2})
+    df.write.parquet(str(tmp_path / "documents"))
+    want = duckdb.sql(licenses.oracle(f"SELECT * FROM '{tmp_path}/documents/*.parquet'")).fetchall()
+    got = licenses.license_scan(df)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert sorted((r[0], r[2]) for r in want if r[2]) == [(1, "MIT"), (2, "CC-BY-NC-4.0")]
+
+
 def test_secrets_fit_takes_every_finding(spark):
     """More distinct findings of each label than the 2,048 of a sample: all are fitted on,
     every fourth of a label held out."""
